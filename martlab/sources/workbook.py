@@ -16,6 +16,9 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .tables import write_table
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -197,24 +200,38 @@ def _merged_kind(kinds: set[str]) -> str:
 def read_workbooks(
     spark: SparkSession, path: str, sheet: str | int | None = 0, *, schema: str | None = None, with_source: bool = False
 ) -> DataFrame:
-    """One sheet of every workbook under `path` (a file, folder or glob), aligned by normalised column name.
+    """One sheet of every workbook under `path` (a file, folder or glob), see `workbook_rows`."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
+    return workbook_rows(files, sheet, schema=schema, with_source=with_source)
+
+
+def workbook_rows(
+    files: DataFrame, sheet: str | int | None = 0, *, schema: str | None = None, with_source: bool = False
+) -> DataFrame:
+    """Rows of one sheet of every workbook in `files` (path, content), aligned by normalised column name.
 
     Without `schema`, types come from the cells of all workbooks: whole numbers, numbers, flags, dates, text, or text
     when kinds are mixed. `with_source` adds source_file and row_number.
     """
     sheet = sheet_argument(sheet)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
     if schema is None:
         kinds = files.select("content").mapInPandas(_column_kinds(sheet), "position int, name string, kind string")
         # One row per distinct column of the sheet, whatever the number of workbooks.
         columns = kinds.groupBy("name").agg(F.min("position").alias("p"), F.collect_set("kind").alias("k"))
         found = columns.orderBy("p", "name").collect()
         if not found:
-            raise FileNotFoundError(f"No workbook with a header found at {path}")
+            raise FileNotFoundError("No workbook with a header found")
         types = {r["name"]: SPARK_TYPES[_merged_kind(set(r["k"]))] for r in found}
     else:
-        empty = spark.createDataFrame([], schema)
-        types = {normalize_name(f.name): f.dataType.simpleString() for f in empty.schema.fields}
+        types = {normalize_name(f.name): f.dataType.simpleString() for f in StructType.fromDDL(schema).fields}
     rows = files.mapInPandas(_row_values(sheet), "source_file string, row_number long, cells map<string,string>")
-    values = [F.element_at("cells", F.lit(n)).cast(t).alias(n) for n, t in types.items()]
+    values = [F.try_element_at(F.col("cells"), F.lit(n)).cast(t).alias(n) for n, t in types.items()]
     return rows.select(*(["source_file", "row_number"] if with_source else []), *values)
+
+
+def load_workbooks(spark: SparkSession, path: str, target_table: str, *, sheet: str | int | None = 0,
+                   database: str = "raw", if_exists: str = "replace", schema: str | None = None) -> int:
+    """Workbooks into a catalog table; returns the number of rows."""
+    return write_table(
+        read_workbooks(spark, path, sheet, schema=schema), target_table, database=database, if_exists=if_exists
+    )
