@@ -40,11 +40,6 @@ def query(function: Callable[[Tables], DataFrame]):
     return function
 
 
-def _money(df: DataFrame, *names: str) -> DataFrame:
-    """Sums of doubles depend on order in their last digits."""
-    return df.withColumns({n: F.round(n, 4) for n in names})
-
-
 # --- loan marts -------------------------------------------------------------------------------------------------------
 
 
@@ -93,12 +88,12 @@ def loan_collateral_match(t):
 
 @query
 def collateral_rollup(t):
-    return _money(_matched(t, mode="aggregate"), "appraised_value", "book_value")
+    return _matched(t, mode="aggregate")
 
 
 @query
 def data_quality_summary(t):
-    return _money(loans.data_quality_summary(_stress_input(t)), "total_outstanding_balance", "total_committed_balance")
+    return loans.data_quality_summary(_stress_input(t))
 
 
 @query
@@ -113,8 +108,7 @@ def filter_discovery(t):
 
 @query
 def filter_pattern_analysis(t):
-    result = loans.filter_pattern_analysis(_discovery(t), loans.stage_core_loans(t.core_loans()), t.december_set(), AS_OF)
-    return _money(result, "total_outstanding_balance")
+    return loans.filter_pattern_analysis(_discovery(t), loans.stage_core_loans(t.core_loans()), t.december_set(), AS_OF)
 
 
 @query

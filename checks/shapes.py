@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 AS_OF = "2000-12-31"
 CHECK_DATE = "2024-01-30"
 PRODUCTIVE = ("click", "view", "purchase")
+SCHEMAS: dict = {}
 
 
 class Tables:
@@ -17,7 +18,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:  # a catalog would know it without opening a file
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     # --- loans ---
 

@@ -25,6 +25,11 @@ def ratio(part: Column, whole: Column, digits: int | None = None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
+def exact_sum(amount: str | Column) -> Column:
+    """Sum of amounts that does not depend on the order of the rows: added as decimals with six places."""
+    return F.sum(as_column(amount).cast("decimal(24,6)")).cast("double")
+
+
 def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.guard import sql_literal
 from .dates import as_column
 
 # State, district and territory names with their two-letter postal codes.
@@ -117,7 +118,7 @@ def normalize_state(c: str | Column, lookup: Mapping[str, str] = US_STATES) -> C
     for name, code in lookup.items():
         entries.setdefault(name.upper(), code.upper())
     entries.update({code.upper(): code.upper() for code in lookup.values()})
-    table = F.create_map(*[F.lit(v) for pair in entries.items() for v in pair])
+    table = F.expr("map(" + ", ".join(sql_literal(v) for pair in entries.items() for v in pair) + ")")
     return F.when(key != "", F.try_element_at(table, key))
 
 

@@ -27,16 +27,18 @@ def close_events(
     then_by: Sequence[str] = (),
     slot_minutes: int = 10,
     day_columns: DataFrame | None = None,
+    merge_copies: bool = False,
 ) -> DataFrame:
     """Each event becomes an interval up to the next event of the same key and day; the day's last one is dropped.
 
     Adds `work_date`, `status_start` and `status_end`. `then_by` orders events of the same instant. `day_columns`, one
     or more rows per key and `work_date`, is inner joined on the way: its columns ride on the slot table, so the log
-    itself is shuffled once, by key, day and slot.
+    itself is shuffled by key, day and slot only. `merge_copies` first reduces equal log rows to one, combining per
+    task: all but one of them have zero length, so time sums stay the same.
     """
     keys = list(keys)
     slot_us = slot_minutes * 60_000_000
-    rows = log.where(F.col(ts).isNotNull()).withColumns(
+    rows = (log.distinct() if merge_copies else log).where(F.col(ts).isNotNull()).withColumns(
         {DAY: F.to_date(ts), START: F.col(ts), "_slot": F.floor(micros(ts) / F.lit(slot_us))}
     )
     within = Window.partitionBy(*keys, DAY, "_slot").orderBy(START, *then_by)
@@ -66,15 +68,6 @@ def close_events(
     return closed.drop("_slot", "_next", "_later")
 
 
-def merge_same_instant(log: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
-    """One row per key and instant, keeping the value that sorts last.
-
-    Of events at one instant all but the last have zero length, so time sums stay the same while repeated log lines
-    are combined before the shuffle.
-    """
-    return log.groupBy(*keys, ts).agg(F.max(value).alias(value))
-
-
 def clip_to_window(
     intervals: DataFrame,
     windows: DataFrame,
@@ -114,9 +107,22 @@ def end_points(intervals: DataFrame, keys: Sequence[str], start: str, end: str)
     return summed.where(F.col("step") != 0)
 
 
-def crowded_keys(points: DataFrame, keys: Sequence[str], max_points: int) -> DataFrame:
-    """Keys with more distinct end points than an array should hold."""
-    return points.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_points).select(*keys)
+def crowded_keys(
+    intervals: DataFrame, points: DataFrame, keys: Sequence[str], max_points: int
+) -> DataFrame | None:
+    """Keys with more distinct end points than an array should hold, None when there are none.
+
+    Runs a small job. Twice the number of intervals bounds the number of points, so the points themselves are only
+    counted when some key passes that bound.
+    """
+    def above(rows: DataFrame, limit: float) -> DataFrame:
+        counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+        return counted.where(F.col("_n") > limit).select(*keys)
+
+    if above(intervals, max_points / 2).isEmpty():
+        return None
+    crowded = above(points, max_points)
+    return None if crowded.isEmpty() else crowded
 
 
 def point_arrays(points: DataFrame, keys: Sequence[str], name: str = "points") -> DataFrame:
@@ -214,8 +220,8 @@ def overlap_micros(
     points = end_points(right, keys, right_start, right_end)
     if method == "running_sum":
         return overlap_by_running_sum(left, points, keys, start, end, out=out)
-    crowded = crowded_keys(points, keys, max_points)
-    if crowded.isEmpty():
+    crowded = crowded_keys(right, points, keys, max_points)
+    if crowded is None:
         return _overlap_by_arrays(left, points, keys, start, end, out)
     few = _overlap_by_arrays(
         left.join(crowded, keys, "left_anti"), points.join(crowded, keys, "left_anti"), keys, start, end, out

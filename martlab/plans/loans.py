@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_column, is_stale
-from ..functions.numbers import count_where, pct, ratio, signal_strength
+from ..functions.numbers import count_where, exact_sum, pct, ratio, signal_strength
 from ..functions.terms import effective_origination, remaining_terms
 from ..functions.text import US_STATES, address_flags, flag_is_set, normalize_state, zip5
 from ..operators.filter_tree import tree_predicate
@@ -248,9 +248,9 @@ def roll_up_collateral(collaterals: DataFrame) -> DataFrame:
     The totals combine per task, and only they and one ranked row per loan meet in the join.
     """
     totals = collaterals.groupBy("loan_id").agg(
-        F.sum("appraised_value").alias("appraised_value"),
+        exact_sum("appraised_value").alias("appraised_value"),
         F.max("appraisal_date").alias("appraisal_date"),
-        F.sum("book_value").alias("book_value"),
+        exact_sum("book_value").alias("book_value"),
     )
     best = pick_first(collaterals, ["loan_id"], primary_order()).select(
         "loan_id", "collateral_id", "street_address_raw", "city_raw", "state_code", "zip_code_raw"
@@ -287,8 +287,8 @@ def data_quality_summary(stress_input: DataFrame, by: Sequence[str] = ()) -> Dat
     blank, box = F.col("is_null_address"), F.col("is_po_box")
     counted = stress_input.groupBy("report_date", *by).agg(
         F.count("*").alias("total_loans"),
-        F.sum("outstanding_balance").alias("total_outstanding_balance"),
-        F.sum("committed_balance").alias("total_committed_balance"),
+        exact_sum("outstanding_balance").alias("total_outstanding_balance"),
+        exact_sum("committed_balance").alias("total_committed_balance"),
         count_where(matched).alias("loans_with_collateral"),
         count_where(~matched).alias("loans_without_collateral"),
         count_where(F.col("has_complete_collateral_data")).alias("loans_with_complete_collateral"),
@@ -351,7 +351,7 @@ def filter_pattern_analysis(
             "march_input_count": count_where(F.col("in_march_input")),
             "dec_input_count": count_where(F.col("in_dec_input")),
             "either_input_count": count_where(F.col("in_either_input")),
-            "total_outstanding_balance": F.sum("outstanding_balance"),
+            "total_outstanding_balance": exact_sum("outstanding_balance"),
         },
         combos=combos,
     ).withColumn("dec_input_pct", pct(F.col("dec_input_count"), F.col("total_core_count")))

@@ -168,14 +168,15 @@ def productive_intervals(
     shuffled by agent and day. Only agent-days with more than `max_points` break ends take the running sum instead.
     """
     events = log.where(F.col("payroll").isNotNull()).select("payroll", "tstamp", "newstatus")
-    merged = iv.merge_same_instant(events, ["payroll"], "tstamp", "newstatus")
     windows = roster_days(roster).select(*AGENT_DAY, "roster_start", "roster_finish")
-    points = iv.end_points(break_intervals(breaks, only_breaks=False), AGENT_DAY, "break_start", "break_end")
-    crowded = iv.crowded_keys(points, AGENT_DAY, max_points)
+    activities = break_intervals(breaks, only_breaks=False)
+    points = iv.end_points(activities, AGENT_DAY, "break_start", "break_end")
+    crowded = iv.crowded_keys(activities, points, AGENT_DAY, max_points)
 
     def clipped(day_columns: DataFrame) -> DataFrame:
         closed = iv.close_events(
-            merged, ["payroll"], "tstamp", slot_minutes=slot_minutes, day_columns=day_columns
+            events, ["payroll"], "tstamp", then_by=["newstatus"], slot_minutes=slot_minutes, day_columns=day_columns,
+            merge_copies=True,
         )
         return iv.clip(closed, iv.START, iv.END, "roster_start", "roster_finish")
 
@@ -189,7 +190,7 @@ def productive_intervals(
             clipped(days).withColumn("overlap_us", iv.overlap_with_points("points", "clipped_start", "clipped_end"))
         )
 
-    if crowded.isEmpty():
+    if crowded is None:
         return by_arrays(windows, points)
     few = by_arrays(windows.join(crowded, AGENT_DAY, "left_anti"), points.join(crowded, AGENT_DAY, "left_anti"))
     many = iv.overlap_by_running_sum(

@@ -14,6 +14,12 @@ RUNTIME_SETTINGS = {
     # A join whose partitioning is used again by a later aggregate is only split when this is on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+STARTUP_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    # Recording the Python call site of every column expression makes building a wide plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -24,13 +30,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "martlab", master: str | None = None, **conf: str) -> SparkSession:
-    """Session in UTC with ANSI casts. `conf` keys use `_` for `.` or are passed through a dict."""
+    """Session in UTC with ANSI casts; `conf` adds to or overrides the settings."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true", **RUNTIME_SETTINGS}
-    settings.update(conf)
-    for key, value in settings.items():
+    for key, value in {**STARTUP_SETTINGS, **RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
