@@ -33,15 +33,19 @@ def close_events(
 
     Adds `work_date`, `status_start` and `status_end`. `then_by` orders events of the same instant. `day_columns`, one
     or more rows per key and `work_date`, is inner joined on the way: its columns ride on the slot table, so the log
-    itself is shuffled by key, day and slot only. `merge_copies` first reduces equal log rows to one, combining per
-    task: all but one of them have zero length, so time sums stay the same.
+    itself is never shuffled by key and day alone.
+
+    Equal log rows are combined per task before they are shuffled. All but one of them have zero length: they are put
+    back as such at the end, or left out with `merge_copies`, which keeps every time sum.
     """
     keys = list(keys)
     slot_us = slot_minutes * 60_000_000
-    rows = (log.distinct() if merge_copies else log).where(F.col(ts).isNotNull()).withColumns(
+    columns = log.columns
+    once = log.distinct() if merge_copies else log.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    rows = once.where(F.col(ts).isNotNull()).withColumns(
         {DAY: F.to_date(ts), START: F.col(ts), "_slot": F.floor(micros(ts) / F.lit(slot_us))}
     )
-    within = Window.partitionBy(*keys, DAY, "_slot").orderBy(START, *then_by)
+    within = Window.partitionBy(*keys, DAY, "_slot").orderBy(START, *then_by, *[c for c in columns if c not in then_by])
     rows = rows.withColumn("_next", F.lead(START).over(within))
 
     slots = (
@@ -64,8 +68,24 @@ def close_events(
         for n in names:
             match = match & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
         joined = rows.join(right, match).drop(*[f"_r_{n}" for n in names])
-    closed = joined.withColumn(END, F.coalesce("_next", "_later")).where(F.col(END).isNotNull())
-    return closed.drop("_slot", "_next", "_later")
+    closed = joined.withColumn(END, F.coalesce("_next", "_later"))
+    if not merge_copies:
+        closed = _put_back_copies(closed)
+    return closed.where(F.col(END).isNotNull()).drop("_slot", "_next", "_later")
+
+
+def _put_back_copies(rows: DataFrame, block: int = 1000) -> DataFrame:
+    """Every row once as it is, and `_copies` - 1 times with zero length. Arrays stay within `block` entries."""
+    kinds = F.array(
+        F.struct(F.col(END).alias("end"), F.lit(1).cast("long").alias("n")),
+        F.struct(F.col(START).alias("end"), (F.col("_copies") - 1).alias("n")),
+    )
+    few = rows.withColumn("_kind", F.explode(F.filter(kinds, lambda k: k["n"] > 0)))
+    few = few.withColumns({END: F.col("_kind.end"), "_n": F.col("_kind.n")})
+    blocks = few.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block))))
+    size = F.least(F.lit(block).cast("long"), F.col("_n") - F.col("_block") * block)
+    repeated = blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+    return repeated.drop("_copies", "_kind", "_n", "_block", "_i")
 
 
 def clip_to_window(

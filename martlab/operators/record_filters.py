@@ -72,13 +72,17 @@ def facet_values(df: DataFrame, filters: Mapping[str, Mapping | None], column: s
 
 
 def typed_sort(df: DataFrame, column: str, *, kind: str = "str", ascending: bool = True, then: str | None = None) -> DataFrame:
-    """Sort by number (what is no number counts as infinite) or by case-folded text."""
+    """Sort by number (what is no number counts as infinite) or by case-folded text.
+
+    Ties keep the order of the input. That also lets Spark cut a value shared by very many rows into several sort
+    partitions.
+    """
     if kind == "num":
         key = F.coalesce(_number(df, column).cast("double"), F.lit(float("inf")))
     else:
         key = F.lower(F.coalesce(F.col(column).cast("string"), F.lit("None")))
     order = [key.asc() if ascending else key.desc()]
-    return df.orderBy(*(order + ([F.col(then)] if then else [])))
+    return df.orderBy(*order, *([F.col(then)] if then else []), F.monotonically_increasing_id())
 
 
 def search_records(df: DataFrame, term: str | None, limit: int = 50) -> DataFrame:

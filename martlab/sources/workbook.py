@@ -24,6 +24,7 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # Built-in number formats that show a date or time.
 DATE_FORMAT_IDS = frozenset([*range(14, 23), *range(45, 48)])
+MAX_COLUMNS = 16_384  # the widest sheet the format allows
 SPARK_TYPES = {"int": "bigint", "float": "double", "bool": "boolean", "date": "timestamp_ntz", "text": "string"}
 
 
@@ -218,9 +219,11 @@ def workbook_rows(
         kinds = files.select("content").mapInPandas(_column_kinds(sheet), "position int, name string, kind string")
         # One row per distinct column of the sheet, whatever the number of workbooks.
         columns = kinds.groupBy("name").agg(F.min("position").alias("p"), F.collect_set("kind").alias("k"))
-        found = columns.orderBy("p", "name").collect()
+        found = columns.orderBy("p", "name").limit(MAX_COLUMNS + 1).collect()
         if not found:
             raise FileNotFoundError("No workbook with a header found")
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"The workbooks have more than {MAX_COLUMNS} different columns; declare a schema")
         types = {r["name"]: SPARK_TYPES[_merged_kind(set(r["k"]))] for r in found}
     else:
         types = {normalize_name(f.name): f.dataType.simpleString() for f in StructType.fromDDL(schema).fields}
