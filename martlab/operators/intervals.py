@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_column, micros
+from ..functions.dates import as_column, day_of_micros, from_micros, micros, micros_between
 
 DAY = "work_date"
 START, END = "status_start", "status_end"
+START_US, END_US = "start_us", "end_us"
 
 
 def close_events(
@@ -31,29 +32,29 @@ def close_events(
 ) -> DataFrame:
     """Each event becomes an interval up to the next event of the same key and day; the day's last one is dropped.
 
-    Adds `work_date`, `status_start` and `status_end`. `then_by` orders events of the same instant. `day_columns`, one
-    or more rows per key and `work_date`, is inner joined on the way: its columns ride on the slot table, so the log
-    itself is never shuffled by key and day alone.
+    Adds `work_date`, `status_start` and `status_end`, and the two times in microseconds as `start_us` and `end_us`, in
+    place of the time column. `then_by` orders events of the same instant. `day_columns`, one or more rows per key and
+    `work_date`, is inner joined on the way: its columns ride on the slot table, so the log itself is never shuffled by
+    key and day alone.
 
     Equal log rows are combined per task before they are shuffled. All but one of them have zero length: they are put
     back as such at the end, or left out with `merge_copies`, which keeps every time sum.
     """
     keys = list(keys)
-    slot_us = slot_minutes * 60_000_000
-    columns = log.columns
-    once = log.distinct() if merge_copies else log.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    rows = once.where(F.col(ts).isNotNull()).withColumns(
-        {DAY: F.to_date(ts), START: F.col(ts), "_slot": F.floor(micros(ts) / F.lit(slot_us))}
-    )
-    within = Window.partitionBy(*keys, DAY, "_slot").orderBy(START, *then_by, *[c for c in columns if c not in then_by])
-    rows = rows.withColumn("_next", F.lead(START).over(within))
-
-    slots = (
-        log.where(F.col(ts).isNotNull())
-        .select(*keys, F.to_date(ts).alias(DAY), F.floor(micros(ts) / F.lit(slot_us)).alias("_slot"), F.col(ts).alias("_ts"))
-        .groupBy(*keys, DAY, "_slot")
-        .agg(F.min("_ts").alias("_first"))
-    )
+    others = [c for c in log.columns if c != ts]
+
+    def slotted(df: DataFrame) -> DataFrame:
+        slot = F.floor(F.col(START_US) / F.lit(slot_minutes * 60_000_000))
+        return df.withColumns({DAY: day_of_micros(START_US), "_slot": slot})
+
+    # Times travel as numbers: they are converted once per row, and sort and compare cheaply.
+    timed = log.where(F.col(ts).isNotNull()).select(*others, micros(ts).alias(START_US))
+    once = timed.distinct() if merge_copies else timed.groupBy(*timed.columns).agg(F.count("*").alias("_copies"))
+    order = [START_US, *then_by, *[c for c in others if c not in then_by]]
+    rows = slotted(once)
+    rows = rows.withColumn("_next", F.lead(START_US).over(Window.partitionBy(*keys, DAY, "_slot").orderBy(*order)))
+
+    slots = slotted(timed.select(*keys, START_US)).groupBy(*keys, DAY, "_slot").agg(F.min(START_US).alias("_first"))
     along = Window.partitionBy(*keys, DAY).orderBy("_slot")
     slots = slots.withColumn("_later", F.lead("_first").over(along)).drop("_first")
 
@@ -68,20 +69,21 @@ def close_events(
         for n in names:
             match = match & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
         joined = rows.join(right, match).drop(*[f"_r_{n}" for n in names])
-    closed = joined.withColumn(END, F.coalesce("_next", "_later"))
+    closed = joined.withColumn(END_US, F.coalesce("_next", "_later"))
     if not merge_copies:
         closed = _put_back_copies(closed)
-    return closed.where(F.col(END).isNotNull()).drop("_slot", "_next", "_later")
+    closed = closed.where(F.col(END_US).isNotNull()).drop("_slot", "_next", "_later")
+    return closed.withColumns({START: from_micros(START_US), END: from_micros(END_US)})
 
 
 def _put_back_copies(rows: DataFrame, block: int = 1000) -> DataFrame:
     """Every row once as it is, and `_copies` - 1 times with zero length. Arrays stay within `block` entries."""
     kinds = F.array(
-        F.struct(F.col(END).alias("end"), F.lit(1).cast("long").alias("n")),
-        F.struct(F.col(START).alias("end"), (F.col("_copies") - 1).alias("n")),
+        F.struct(F.col(END_US).alias("end"), F.lit(1).cast("long").alias("n")),
+        F.struct(F.col(START_US).alias("end"), (F.col("_copies") - 1).alias("n")),
     )
     few = rows.withColumn("_kind", F.explode(F.filter(kinds, lambda k: k["n"] > 0)))
-    few = few.withColumns({END: F.col("_kind.end"), "_n": F.col("_kind.n")})
+    few = few.withColumns({END_US: F.col("_kind.end"), "_n": F.col("_kind.n")})
     blocks = few.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block))))
     size = F.least(F.lit(block).cast("long"), F.col("_n") - F.col("_block") * block)
     repeated = blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size)))
@@ -150,26 +152,26 @@ def point_arrays(points: DataFrame, keys: Sequence[str], name: str = "points") -
     return points.groupBy(*keys).agg(F.collect_list(F.struct("x", "step")).alias(name))
 
 
-def overlap_with_points(points: str | Column, start: str | Column, end: str | Column) -> Column:
+def overlap_with_points(points: str | Column, start_us: str, end_us: str) -> Column:
     """Microseconds shared by [start, end) with all intervals behind the points; shared time counts once for each.
 
     An interval from f to t shares (end - clamp(f)) - (end - clamp(t)), clamped to [start, end], so the sum runs over
-    the points alone.
+    the points alone. Start and end are columns in microseconds: an expression would be worked out again for every
+    point.
     """
-    arr, a, b = as_column(points), as_column(start), as_column(end)
-    lo, hi = micros(a), micros(b)
+    arr, lo, hi = as_column(points), F.col(start_us), F.col(end_us)
     total = F.aggregate(
         arr, F.lit(0).cast("long"), lambda acc, p: acc + p["step"] * (hi - F.least(hi, F.greatest(lo, p["x"])))
     )
-    return F.when(arr.isNotNull() & (b > a), total).otherwise(F.lit(0).cast("long"))
+    return F.when(arr.isNotNull() & (hi > lo), total).otherwise(F.lit(0).cast("long"))
 
 
 def overlap_by_running_sum(
     left: DataFrame,
     points: DataFrame,
     keys: Sequence[str],
-    start: str,
-    end: str,
+    start_us: str,
+    end_us: str,
     *,
     out: str = "overlap_us",
     slot_minutes: int = 10,
@@ -181,8 +183,9 @@ def overlap_by_running_sum(
     the totals of the earlier slots of the key.
     """
     keys = list(keys)
-    asked = left.where(F.col(end) > F.col(start)).select(
-        *keys, F.explode(F.array(micros(start), micros(end))).alias("x"), F.lit(0).cast("long").alias("step")
+    tagged = left.withColumns({"_a": F.col(start_us), "_b": F.col(end_us)})
+    asked = tagged.where(F.col("_b") > F.col("_a")).select(
+        *keys, F.explode(F.array("_a", "_b")).alias("x"), F.lit(0).cast("long").alias("step")
     )
     marks = points.select(*keys, "x", "step").unionByName(asked)
     marks = marks.groupBy(*keys, "x").agg(F.sum("step").alias("step"))
@@ -207,11 +210,10 @@ def overlap_by_running_sum(
     covered = (count * F.col("x").cast("decimal(19,0)")).cast("decimal(38,0)") - F.col("_s") - F.col("_s0")
     g = running.join(totals, [*keys, "_slot"]).select(*keys, "x", covered.cast("decimal(38,0)").alias("_g"))
 
-    tagged = left.withColumns({"_a": micros(start), "_b": micros(end)})
     at_start = g.withColumnsRenamed({"x": "_a", "_g": "_ga"})
     at_end = g.withColumnsRenamed({"x": "_b", "_g": "_gb"})
     looked_up = tagged.join(at_start, [*keys, "_a"], "left").join(at_end, [*keys, "_b"], "left")
-    shared = F.when(F.col(end) > F.col(start), (F.col("_gb") - F.col("_ga")).cast("long"))
+    shared = F.when(F.col("_b") > F.col("_a"), (F.col("_gb") - F.col("_ga")).cast("long"))
     result = looked_up.withColumn(out, F.coalesce(shared, F.lit(0).cast("long")))
     return result.select(*left.columns, out)
 
@@ -238,26 +240,29 @@ def overlap_micros(
         raise ValueError("method must be one of: 'auto', 'running_sum'")
     keys = list(keys)
     points = end_points(right, keys, right_start, right_end)
+
+    def by_running_sum(some: DataFrame, points: DataFrame) -> DataFrame:
+        timed = some.withColumns({"_lo": micros(start), "_hi": micros(end)})
+        return overlap_by_running_sum(timed, points, keys, "_lo", "_hi", out=out).drop("_lo", "_hi")
+
     if method == "running_sum":
-        return overlap_by_running_sum(left, points, keys, start, end, out=out)
+        return by_running_sum(left, points)
     crowded = crowded_keys(right, points, keys, max_points)
     if crowded is None:
         return _overlap_by_arrays(left, points, keys, start, end, out)
     few = _overlap_by_arrays(
         left.join(crowded, keys, "left_anti"), points.join(crowded, keys, "left_anti"), keys, start, end, out
     )
-    many = overlap_by_running_sum(
-        left.join(crowded, keys, "left_semi"), points.join(crowded, keys, "left_semi"), keys, start, end, out=out
-    )
+    many = by_running_sum(left.join(crowded, keys, "left_semi"), points.join(crowded, keys, "left_semi"))
     return few.unionByName(many)
 
 
 def _overlap_by_arrays(left, points, keys, start, end, out) -> DataFrame:
-    joined = left.join(point_arrays(points, keys, "_points"), keys, "left")
-    return joined.withColumn(out, overlap_with_points("_points", start, end)).select(*left.columns, out)
+    tagged = left.withColumns({"_lo": micros(start), "_hi": micros(end)})
+    joined = tagged.join(point_arrays(points, keys, "_points"), keys, "left")
+    return joined.withColumn(out, overlap_with_points("_points", "_lo", "_hi")).select(*left.columns, out)
 
 
 def duration_by_day(df: DataFrame, keys: Sequence[str], start: str, end: str, out: str = "duration_us") -> DataFrame:
     """Summed length of intervals per key and start day, in exact microseconds."""
-    length = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
-    return df.groupBy(*keys, F.to_date(start).alias(DAY)).agg(F.sum(length).alias(out))
+    return df.groupBy(*keys, F.to_date(start).alias(DAY)).agg(F.sum(micros_between(start, end)).alias(out))

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import (
     at_time_of_day,
     floor_at_zero,
+    from_micros,
     hhmmss,
     hours_from_micros,
+    micros,
     micros_between,
     whole_seconds,
 )
@@ -168,7 +170,9 @@ def productive_intervals(
     shuffled by agent and day. Only agent-days with more than `max_points` break ends take the running sum instead.
     """
     events = log.where(F.col("payroll").isNotNull()).select("payroll", "tstamp", "newstatus")
-    windows = roster_days(roster).select(*AGENT_DAY, "roster_start", "roster_finish")
+    windows = roster_days(roster).select(
+        *AGENT_DAY, micros("roster_start").alias("_opens"), micros("roster_finish").alias("_closes")
+    )
     activities = break_intervals(breaks, only_breaks=False)
     points = iv.end_points(activities, AGENT_DAY, "break_start", "break_end")
     crowded = iv.crowded_keys(activities, points, AGENT_DAY, max_points)
@@ -178,11 +182,17 @@ def productive_intervals(
             events, ["payroll"], "tstamp", then_by=["newstatus"], slot_minutes=slot_minutes, day_columns=day_columns,
             merge_copies=True,
         )
-        return iv.clip(closed, iv.START, iv.END, "roster_start", "roster_finish")
+        return iv.clip(closed, iv.START_US, iv.END_US, "_opens", "_closes")
 
     def measured(rows: DataFrame) -> DataFrame:
-        length = micros_between("clipped_start", "clipped_end").alias("interval_us")
-        return rows.select(*AGENT_DAY, "newstatus", "clipped_start", "clipped_end", length, "overlap_us")
+        return rows.select(
+            *AGENT_DAY,
+            "newstatus",
+            from_micros("clipped_start").alias("clipped_start"),
+            from_micros("clipped_end").alias("clipped_end"),
+            (F.col("clipped_end") - F.col("clipped_start")).alias("interval_us"),
+            "overlap_us",
+        )
 
     def by_arrays(windows: DataFrame, points: DataFrame) -> DataFrame:
         days = windows.join(iv.point_arrays(points, AGENT_DAY), AGENT_DAY, "left")

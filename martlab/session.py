@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 # All of these may be changed on a running session.
 RUNTIME_SETTINGS = {
+    # Zoneless times are measured through the session zone, so it must be one without clock changes.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -15,7 +17,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 STARTUP_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     # Recording the Python call site of every column expression makes building a wide plan several times slower.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -23,7 +24,7 @@ STARTUP_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution and skew splitting for an existing session."""
+    """Set UTC, adaptive execution and skew splitting on an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
