@@ -486,7 +486,10 @@ def source_freshness(t):
 def sources_ready(t):
     ready = fr.sources_ready(fr.source_freshness(_sources(t), CHECK_DATE))
     flags = fr.all_true(t.given("orders").select((F.col("o_totalprice") > 0).alias("ok")), "ok")
-    return ready.join(flags)
+    none = F.lit(None).cast("long")
+    return ready.withColumn("what", F.lit("sources")).unionByName(flags.select(
+        none.alias("total_sources"), none.alias("ready_sources"), F.col("all_true").alias("sources_ready"), F.lit("prices").alias("what")
+    ))
 
 
 @query

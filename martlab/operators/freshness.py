@@ -64,8 +64,12 @@ def run_decision(log: DataFrame, freshness: DataFrame, today: Column | str | Non
         (F.coalesce(F.max("log_id"), F.lit(0)) + 1).cast("long").alias("log_id"),
         (F.count_if(ran_today) > 0).alias("already_ran"),
     )
-    # Both sides are single aggregate rows.
-    both = history.crossJoin(sources_ready(freshness).select("sources_ready"))
+    ready = sources_ready(freshness).select(
+        F.lit(None).cast("long").alias("log_id"), F.lit(None).cast("boolean").alias("already_ran"), "sources_ready"
+    )
+    both = history.withColumn("sources_ready", F.lit(None).cast("boolean")).unionByName(ready).agg(
+        F.max("log_id").alias("log_id"), F.bool_or("already_ran").alias("already_ran"), F.bool_or("sources_ready").alias("sources_ready")
+    )
     status = F.when(F.col("already_ran"), ALREADY).when(~F.col("sources_ready"), SKIPPED_SOURCES).otherwise(SUCCESS)
     table = F.create_map(*[F.lit(v) for pair in MESSAGES.items() for v in pair])
     return both.withColumn("status", status).select(

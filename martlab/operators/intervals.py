@@ -51,28 +51,23 @@ def close_events(
     timed = log.where(F.col(ts).isNotNull()).select(*others, micros(ts).alias(START_US))
     once = timed.distinct() if merge_copies else timed.groupBy(*timed.columns).agg(F.count("*").alias("_copies"))
     order = [START_US, *then_by, *[c for c in others if c not in then_by]]
-    rows = slotted(once)
-    rows = rows.withColumn("_next", F.lead(START_US).over(Window.partitionBy(*keys, DAY, "_slot").orderBy(*order)))
-
     slots = slotted(timed.select(*keys, START_US)).groupBy(*keys, DAY, "_slot").agg(F.min(START_US).alias("_first"))
     along = Window.partitionBy(*keys, DAY).orderBy("_slot")
     slots = slots.withColumn("_later", F.lead("_first").over(along)).drop("_first")
-
+    rows = slotted(once)
     if day_columns is not None:
-        slots = slots.join(day_columns, [*keys, DAY])
-        joined = rows.join(slots, [*keys, DAY, "_slot"])
+        at, slots = [*keys, DAY, "_slot"], slots.join(day_columns, [*keys, DAY])
     else:
-        # Events without a key form a group of their own, so the keys meet null-safely.
-        names = [*keys, DAY, "_slot"]
-        right = slots.select(*[F.col(n).alias(f"_r_{n}") for n in names], "_later")
-        match = F.lit(True)
-        for n in names:
-            match = match & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
-        joined = rows.join(right, match).drop(*[f"_r_{n}" for n in names])
+        # Events without a key form a group of their own. As part of a struct their NULL keys meet in the join, and
+        # the window leaves the rows where that join wants them.
+        at, rows = ["_key", DAY, "_slot"], rows.withColumn("_key", F.struct(*keys))
+        slots = slots.select(F.struct(*keys).alias("_key"), DAY, "_slot", "_later")
+    rows = rows.withColumn("_next", F.lead(START_US).over(Window.partitionBy(*at).orderBy(*order)))
+    joined = rows.join(slots, at)
     closed = joined.withColumn(END_US, F.coalesce("_next", "_later"))
     if not merge_copies:
         closed = _put_back_copies(closed)
-    closed = closed.where(F.col(END_US).isNotNull()).drop("_slot", "_next", "_later")
+    closed = closed.where(F.col(END_US).isNotNull()).drop("_key", "_slot", "_next", "_later")
     return closed.withColumns({START: from_micros(START_US), END: from_micros(END_US)})
 
 

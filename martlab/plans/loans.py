@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_column, is_stale
+from ..functions.dates import is_stale
 from ..functions.numbers import count_where, exact_sum, pct, ratio, signal_strength
 from ..functions.terms import effective_origination, remaining_terms
 from ..functions.text import US_STATES, address_flags, flag_is_set, normalize_state, zip5
@@ -371,8 +371,13 @@ def filter_pattern_analysis(
 
 
 def sample_mart(loans: DataFrame, collaterals: DataFrame, loan_type: str = "CRE_NOO") -> DataFrame:
-    """Loans of one type with the value of their collateral."""
-    values = collaterals.select("loan_id", as_column("collateral_value"))
-    return loans.join(values, "loan_id", "left").where(F.col("loan_type") == loan_type).select(
-        *loans.columns, "collateral_value"
-    )
+    """Loans of one type with the values of their collaterals, or NULL for none.
+
+    A left join cannot be split on its right side when one loan holds very many collaterals. An inner join can, so
+    matched loans and loans without collateral are found apart.
+    """
+    wanted = loans.where(F.col("loan_type") == loan_type)
+    values = collaterals.select("loan_id", "collateral_value")
+    value_type = collaterals.schema["collateral_value"].dataType
+    lonely = missing_keys(wanted, values, "loan_id").withColumn("collateral_value", F.lit(None).cast(value_type))
+    return wanted.join(values, "loan_id").select(*lonely.columns).unionByName(lonely)

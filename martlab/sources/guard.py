@@ -57,12 +57,13 @@ def check_identifier(name: str) -> str:
     return name
 
 
-def sql_literal(value: Any) -> str:
-    """A Python value as a typed SQL literal."""
+def sql_literal(value: Any, dialect: str = "postgres") -> str:
+    """A Python value as a typed SQL literal of the dialect."""
+    transact = dialect == "sqlserver"
     if value is None:
         return "NULL"
     if isinstance(value, bool):
-        return "TRUE" if value else "FALSE"
+        return str(int(value)) if transact else str(value).upper()
     if isinstance(value, (int, decimal.Decimal)):
         return str(value)
     if isinstance(value, float):
@@ -70,17 +71,22 @@ def sql_literal(value: Any) -> str:
             raise ValueError("NaN and infinity have no SQL literal")
         return repr(value)
     if isinstance(value, dt.datetime):
-        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+        text = value.isoformat(sep=" ")
+        return f"CAST('{text}' AS DATETIME2)" if transact else f"TIMESTAMP '{text}'"
     if isinstance(value, dt.date):
-        return f"DATE '{value.isoformat()}'"
+        return f"CAST('{value.isoformat()}' AS DATE)" if transact else f"DATE '{value.isoformat()}'"
     if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
+        return ("N'" if transact else "'") + value.replace("'", "''") + "'"
     if isinstance(value, (list, tuple)):
-        return "(" + ", ".join(sql_literal(v) for v in value) + ")"
+        return "(" + ", ".join(sql_literal(v, dialect) for v in value) + ")"
     raise TypeError(f"No SQL literal for {type(value)}")
 
 
-def bind_parameters(query: str, params: Mapping[str, Any] | None) -> str:
+# Quoted text, quoted names, casts, parameters, brackets and words of a query.
+TOKENS = rf"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|::|:(?P<name>{IDENTIFIER})|[()]|{IDENTIFIER}"
+
+
+def bind_parameters(query: str, params: Mapping[str, Any] | None, dialect: str = "postgres") -> str:
     """The query with every `:name` outside quotes, and outside `::type` casts, replaced by a literal."""
     params = dict(params or {})
     used: set[str] = set()
@@ -92,11 +98,22 @@ def bind_parameters(query: str, params: Mapping[str, Any] | None) -> str:
         if name not in params:
             raise ValueError(f"No value for parameter :{name}")
         used.add(name)
-        return sql_literal(params[name])
+        return sql_literal(params[name], dialect)
 
-    pattern = rf"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|::|:(?P<name>{IDENTIFIER})"
-    bound = re.sub(pattern, place, query)
+    bound = re.sub(TOKENS, place, query)
     unused = set(params) - used
     if unused:
         raise ValueError(f"Parameters not used in the query: {sorted(unused)}")
     return bound
+
+
+def split_with(query: str) -> tuple[str, str]:
+    """The WITH part of a query and the SELECT that follows it; the first is empty without WITH."""
+    if not query.lower().startswith("with"):
+        return "", query
+    depth = 0
+    for token in re.finditer(TOKENS, query):
+        depth += {"(": 1, ")": -1}.get(token.group(0), 0)
+        if depth == 0 and token.group(0).lower() == "select":
+            return query[: token.start()].rstrip(), query[token.start() :]
+    raise QueryValidationError("No SELECT follows the WITH part.")

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .guard import bind_parameters, check_select
+from .guard import bind_parameters, check_select, split_with
 from .tables import MODES, qualified, write_table
 
 # JDBC driver classes.
@@ -55,7 +55,7 @@ def reader_options(
     """
     if chunk_size <= 0:
         raise ValueError("chunk_size must be greater than 0")
-    text = bind_parameters(check_select(query, source.dialect), params)
+    text = bind_parameters(check_select(query, source.dialect), params, source.dialect)
     if source.dialect == "snowflake":
         missing = [k for k in SNOWFLAKE_REQUIRED if not source.options.get(k)]
         if missing:
@@ -63,6 +63,9 @@ def reader_options(
         # The connector unloads in parallel by itself.
         return "snowflake", {**source.options, "query": text}
     options = {"url": source.url, "fetchsize": str(chunk_size), "driver": DRIVERS[source.dialect], **source.options}
+    if source.dialect == "sqlserver":  # takes no WITH inside the brackets Spark puts round a query
+        head, text = split_with(text)
+        options |= {"prepareQuery": head} if head else {}
     if split is None:
         return "jdbc", {**options, "query": text}
     # Spark allows a partition column with `dbtable` only.

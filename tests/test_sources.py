@@ -58,6 +58,17 @@ def test_reader_options():
     assert jdbc.reader_options(full, "select 1")[0] == "snowflake"
 
 
+def test_sql_server_dialect():
+    source = jdbc.Source("sqlserver", "jdbc:sqlserver://host")
+    query = "WITH a AS (SELECT '(' AS x FROM t WHERE d >= :d), b AS (SELECT * FROM a) SELECT * FROM b WHERE n = :n AND k = :k"
+    _, options = jdbc.reader_options(source, query, {"d": dt.date(2026, 1, 1), "n": "x", "k": True})
+    assert options["prepareQuery"] == "WITH a AS (SELECT '(' AS x FROM t WHERE d >= CAST('2026-01-01' AS DATE)), b AS (SELECT * FROM a)"
+    assert options["query"] == "SELECT * FROM b WHERE n = N'x' AND k = 1"
+    assert "prepareQuery" not in jdbc.reader_options(source, "select 1")[1]
+    with pytest.raises(guard.QueryValidationError):
+        guard.split_with("with a as (select 1)")
+
+
 def test_arguments_are_checked_before_connecting(spark):
     source = jdbc.Source("sqlserver", "jdbc:sqlserver://nowhere")
     with pytest.raises(ValueError, match="if_exists"):
