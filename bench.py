@@ -16,7 +16,7 @@ HEADLINE = (
     "adherence_daily", "absenteeism_daily", "absenteeism_by_type", "event_intervals", "overlap_seconds",
     "filter_tree_nested", "coerce_timestamp", "run_checks", "apply_changes", "top_items", "survival_curve",
 )
-WARM_RUNS = 3
+WARM_RUNS = 5
 
 
 def timed(run) -> float:
@@ -34,6 +34,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
+    timed(lambda: QUERIES["check_predicate"](spark, folder))  # starts the session's lazy parts
     cold, warm = {}, {}
     for name in names:
         cold[name] = round(timed(lambda: QUERIES[name](spark, folder)), 3)

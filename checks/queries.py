@@ -512,10 +512,10 @@ def last_runs(t):
 
 @query
 def control_flag(t):
-    control = t.given("nation").select(F.col("n_name").alias("task_name"), (F.col("n_regionkey") == 0).alias("has_run"),
-                                       F.lit(None).cast("timestamp_ntz").alias("ran_at"))
+    control = t.given("customer").select(F.col("c_name").alias("task_name"), (F.col("c_nationkey") == 0).alias("has_run"),
+                                         F.lit(None).cast("timestamp_ntz").alias("ran_at"))
     stamp = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    return fr.set_control_flag(control, "NATION_7", stamp)
+    return fr.set_control_flag(control, "Customer#000000007", stamp)
 
 
 def _scratch(t: Tables) -> tuple[str, str]:
