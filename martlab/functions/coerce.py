@@ -23,13 +23,20 @@ FALSE_TEXTS = ("false", "f", "no", "n", "0")
 # Years outside this range cannot be held by a nanosecond timestamp and count as unparseable.
 YEAR_MIN, YEAR_MAX = 1678, 2261
 
-# Tried in order after the ISO forms.
-DATE_FORMATS = (
-    "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd",
-)
-TIMESTAMP_FORMATS = (
-    "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm",
-)
+# Formats tried after the ISO forms, by the shape of the text. A failing parse costs an exception per row, so only
+# formats that can fit are tried.
+FORMATS_BY_SHAPE = {
+    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}(:\d{2})?\z": ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm"),
+    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}(:\d{2})? +[AaPp][Mm]\z": ("M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a"),
+    r"^\d{1,2}/\d{1,2}/\d{4}\z": ("M/d/yyyy",),
+    r"^\d{1,2}-\d{1,2}-\d{4}\z": ("M-d-yyyy",),
+    r"^\d{4}/\d{1,2}/\d{1,2}\z": ("yyyy/M/d",),
+    r"^\d{4}/\d{1,2}/\d{1,2} +\d{1,2}:\d{2}(:\d{2})?\z": ("yyyy/M/d H:mm:ss", "yyyy/M/d H:mm"),
+    r"^\d{1,2} [A-Za-z]{3} \d{4}\z": ("d MMM yyyy",),
+    r"^[A-Za-z]{3} \d{1,2}, \d{4}\z": ("MMM d, yyyy",),
+    r"^[A-Za-z]{4,9} \d{1,2}, \d{4}\z": ("MMMM d, yyyy",),
+    r"^\d{8}\z": ("yyyyMMdd",),
+}
 
 # Type names of the mapping and what they stand for.
 TYPE_NAMES = {
@@ -79,7 +86,9 @@ def _plausible(c: Column) -> Column:
 
 def _text_to_timestamp(text: Column) -> Column:
     tries = [text.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS + DATE_FORMATS]
+    for shape, formats in FORMATS_BY_SHAPE.items():
+        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+        tries.append(F.when(text.rlike(shape), parsed))
     return F.coalesce(*tries)
 
 

@@ -154,6 +154,9 @@ def test_dates(spark, value, kind, expected):
 def test_timestamps(spark):
     assert coerced(spark, "47521.5", "datetime") == dt.datetime(2030, 2, 7, 12)
     assert coerced(spark, "3/31/2025 4:05 PM", "timestamp") == dt.datetime(2025, 3, 31, 16, 5)
+    assert coerced(spark, "March 3, 2025", "timestamp") == dt.datetime(2025, 3, 3)
+    assert coerced(spark, "2025/3/31 4:05", "timestamp") == dt.datetime(2025, 3, 31, 4, 5)
+    assert coerced(spark, "13/31/2025", "timestamp") is None
     assert coerced(spark, "2025-03-31T04:05:06.5", "datetime64") == dt.datetime(2025, 3, 31, 4, 5, 6, 500000)
 
 
