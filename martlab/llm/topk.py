@@ -83,7 +83,7 @@ def bound(q: CoverTree, node: int, x: CoverTree, nodes: np.ndarray) -> np.ndarra
 
 def dual_search(queries: np.ndarray, data: np.ndarray, worst: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query rows, data rows, scores) of all node pairs that may hold a score of at least each query's `worst`."""
-    q, x = CoverTree(queries, 128), CoverTree(data)
+    q, x = CoverTree(queries, 16), CoverTree(data)
     exact = np.abs(queries).max(initial=0).astype(float) * np.abs(data).max(initial=0) * data.shape[1] < 2.0 ** 53
     left, right = (queries.astype(np.float64), data.astype(np.float64)) if exact else (queries, data)
 
@@ -224,9 +224,9 @@ def op10_cover_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 OP10_SQL = """
 WITH fine AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
   FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
