@@ -43,11 +43,12 @@ class Level:
     """A sorted suffix array: distinct hashes, the least document, and in how many batches each stands (up to two)."""
 
     def __init__(self, keys: np.ndarray, docs: np.ndarray, batches: np.ndarray | None = None):
-        order = np.lexsort((docs, keys))
+        order = np.argsort(keys)
         keys, docs = keys[order], docs[order]
         batches = np.ones(len(keys), np.int8) if batches is None else batches[order]
         at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        self.keys, self.docs = keys[at], docs[at]
+        self.keys = keys[at]
+        self.docs = np.minimum.reduceat(docs, at) if len(at) else docs
         self.batches = np.minimum(np.add.reduceat(batches, at), 2).astype(np.int8) if len(at) else batches
 
 
@@ -183,19 +184,24 @@ class Block:
                 self.told[kind, shard] = np.frombuffer(at, np.uint32), np.frombuffer(doc, np.int64)
 
     def sorted_keys(self, kind: int, hashes: np.ndarray, docs: np.ndarray):
-        """For each shard: its number, distinct keys in order, least and greatest document, and the order of the input."""
-        shard = (hashes >> np.uint64(32)) % np.uint64(self.shards)
-        shard = shard.astype(np.int64)
-        keys = (hashes & np.uint64(0xFFFFFFFF)) if kind == NEAR else hashes
-        order = np.lexsort((docs, keys, shard))
-        shard, keys, docs = shard[order], keys[order], docs[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])
-        at = np.flatnonzero(new)
-        group = np.empty(len(keys), np.int64)
+        """In order of the distinct hashes: shard, key, least and greatest document; and which of them each hash is.
+
+        Shards are ranges of hashes, so one sort by hash gives the order of all shards.
+        """
+        order = np.argsort(hashes)
+        sorted_, docs = hashes[order], docs[order]
+        new = np.ones(len(sorted_), bool)
+        new[1:] = sorted_[1:] != sorted_[:-1]
+        group = np.empty(len(sorted_), np.int64)
         group[order] = np.cumsum(new) - 1
-        last = np.append(at[1:], len(keys)) - 1 if len(at) else at
-        return shard[at], keys[at], docs[at], docs[last] if len(at) else docs, group
+        at = np.flatnonzero(new)
+        least, most = (np.minimum.reduceat(docs, at), np.maximum.reduceat(docs, at)) if len(at) else (docs, docs)
+        keys = sorted_[at]
+        count = np.uint64(self.shards)
+        shard = (((keys >> np.uint64(32)) * count) >> np.uint64(32)).astype(np.int64)
+        if kind == NEAR:
+            keys = (keys * count) >> np.uint64(32)
+        return shard, keys, least, most, group
 
     def send(self, kind: int, hashes: np.ndarray, docs: np.ndarray) -> pa.Table:
         shard, keys, least, _, _ = self.sorted_keys(kind, hashes, docs)
