@@ -5,11 +5,12 @@ Only some suffixes are indexed. Each window of `WINDOW` bytes has one anchor, th
 hashed prefixes at its anchors. A task holds one range of hashes of all batches as a family of such arrays: each new batch is a level, and levels of
 like size are merged, so every entry is merged a logarithmic number of times. Then each batch is scanned against the levels.
 
-Three scans narrow the work, none of which drops a match:
+Four scans narrow the work, none of which drops a match:
 
 1. Anchors with a string of 33 bytes to the left or right that another document has too; a shared window implies one.
 2. For those, the whole stretch that the anchor's windows cover: if an earlier document holds it, all of them repeat.
-3. For the rest, every window of 50 bytes by itself.
+3. For the rest, the first question again: the first document that holds a window is among them, so both sides are.
+4. For what is left, every window of 50 bytes by itself.
 
 Documents are a bucketed table of blocks and never shuffled; a block sends each distinct hash once, with its least doc_id,
 so a passage that many documents share weighs no more than the number of blocks. Hashes that decide a removal have 64 bits.
@@ -36,7 +37,8 @@ REACH = WINDOW - GRAM  # a window's anchor lies at most so far behind its start
 SIDE = REACH // 2
 PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max
-NEAR, STRETCH, SINGLE = 0, 1, 2
+NEAR, STRETCH, REST, SINGLE, HELD = range(5)
+SHORT = (NEAR, REST)  # scans that only ask whether another document has a string, with keys of 32 bits
 
 
 class Level:
@@ -82,107 +84,125 @@ def scan_batches(table: pa.Table) -> pa.Table:
     for shard in np.unique(shards):
         mine = table.filter(pa.array(shards == shard))
         kind = int(kinds[shards == shard][0])
-        wide = np.uint32 if kind == NEAR else np.uint64
+        wide = np.uint32 if kind in SHORT else np.uint64
         keys = [np.frombuffer(x, wide) for x in mine.column("keys").to_pylist()]
-        docs = [np.zeros(len(k), np.int64) if kind == NEAR else np.frombuffer(d, np.int64)
+        docs = [np.zeros(len(k), np.int64) if kind in SHORT else np.frombuffer(d, np.int64)
                 for k, d in zip(keys, mine.column("docs").to_pylist())]
         family = Family()
         for k, d in zip(keys, docs):
             family.add(Level(k, d))
         for block, k, d in zip(mine.column("block").to_pylist(), keys, docs):
             least, batches = family.scan(k)
-            at = np.flatnonzero(batches > 1 if kind == NEAR else least < d)
+            at = np.flatnonzero(batches > 1 if kind in SHORT else least < d)
             if len(at):
                 out["block"].append(block)
                 out["kind"].append(kind)
                 out["shard"].append(int(shard))
                 out["at"].append(at.astype(np.uint32).tobytes())
-                out["docs"].append(b"" if kind == NEAR else least[at].tobytes())
+                out["docs"].append(b"" if kind in SHORT else least[at].tobytes())
     return pa.table(out, pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int64()),
                                     ("at", pa.binary()), ("docs", pa.binary())]))
 
 
 class Piece:
-    """Anchors of some whole documents: position, first and last window, and document of each."""
+    """Some whole documents and anchors in them: position, first and last window, and document of each."""
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array):
-        self.ids = ids
+    def __init__(self, ids: np.ndarray, texts: pa.Array, base: int):
+        self.ids, self.base = ids, base
         self.data, self.bounds = buffers(texts)
-        n = len(self.data)
-        self.prefix = prefix_hash(self.data)
-        empty = np.zeros(0, np.int64)
-        self.at, self.first, self.last, self.doc = empty, empty, empty, empty
-        if n < WINDOW:
+        self.keep(*[np.zeros(0, np.int64)] * 3)
+
+    def keep(self, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        self.at, self.first, self.last = at, first, last
+        self.doc = np.searchsorted(self.bounds, first, "right") - 1
+
+    def find_anchors(self) -> None:
+        if len(self.data) < WINDOW:
             return
-        place = np.arange(n - GRAM + 1)
-        packed = span_hash(self.prefix, place, place + GRAM) & np.uint64(0xFFFFFFFF00000000)
-        packed |= place.astype(np.uint64)
+        prefix = prefix_hash(self.data)
+        place = np.arange(len(self.data) - GRAM + 1)
+        least = span_hash(prefix, place, place + GRAM) & np.uint64(0xFFFFFFFF00000000)
+        least |= place.astype(np.uint64)
         # least of 35 neighbours, by doubling
         width = 1
-        least = packed
         while width * 2 <= REACH + 1:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
-        rest = REACH + 1 - width
-        if rest:
+        if width <= REACH:
+            rest = REACH + 1 - width
             least = np.minimum(least[:-rest], least[rest:])
         anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        size = np.diff(self.bounds)
-        doc = np.repeat(np.arange(len(ids)), size)[:len(anchor)]
-        inside = np.flatnonzero((np.arange(len(anchor)) + WINDOW <= self.bounds[1:][doc]) & (ids[doc] != NO_ID))
-        if not len(inside):
-            return
-        of, doc = anchor[inside], doc[inside]
-        new = np.ones(len(inside), bool)
-        new[1:] = (of[1:] != of[:-1]) | (doc[1:] != doc[:-1])
-        start = np.flatnonzero(new)
-        stop = np.append(start[1:], len(inside)) - 1
-        self.at, self.first, self.last, self.doc = of[start], inside[start], inside[stop], doc[start]
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(self.bounds))[:len(anchor)]
+        inside = np.flatnonzero((np.arange(len(anchor)) + WINDOW <= self.bounds[1:][doc]) & (self.ids[doc] != NO_ID))
+        if len(inside):
+            of, doc = anchor[inside], doc[inside]
+            new = np.ones(len(inside), bool)
+            new[1:] = (of[1:] != of[:-1]) | (doc[1:] != doc[:-1])
+            start = np.flatnonzero(new)
+            self.keep(of[start], inside[start], inside[np.append(start[1:], len(inside)) - 1])
 
     def near(self) -> tuple[np.ndarray, np.ndarray]:
         """Anchor numbers and hashes of the 33 bytes that end or begin with the anchor's gram."""
+        prefix = prefix_hash(self.data)
         left = np.flatnonzero(self.at - SIDE >= self.bounds[:-1][self.doc])
         right = np.flatnonzero(self.at + GRAM + SIDE <= self.bounds[1:][self.doc])
-        a = span_hash(self.prefix, self.at[left] - SIDE, self.at[left] + GRAM)
-        b = span_hash(self.prefix, self.at[right], self.at[right] + GRAM + SIDE)
+        a = span_hash(prefix, self.at[left] - SIDE, self.at[left] + GRAM)
+        b = span_hash(prefix, self.at[right], self.at[right] + GRAM + SIDE)
         return np.concatenate([left, right]), np.concatenate([a, mix(b + np.uint64(1))])
 
-    def stretch(self, which: np.ndarray) -> np.ndarray:
-        return span_hash(self.prefix, self.first[which], self.last[which] + WINDOW)
+    def stretches(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(len(self.at)), span_hash(prefix_hash(self.data), self.first, self.last + WINDOW)
 
-    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start of every window of some anchors, and the number of the anchor."""
-        count = self.last[which] - self.first[which] + 1
-        owner = np.repeat(which, count)
-        start = np.repeat(self.first[which], count) + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        return start, owner
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start of every window of the anchors."""
+        count = self.last - self.first + 1
+        return np.repeat(self.first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
-    def single(self, start: np.ndarray) -> np.ndarray:
-        return span_hash(self.prefix, start, start + WINDOW)
+    def singles(self) -> tuple[np.ndarray, np.ndarray]:
+        start = self.windows()
+        return np.repeat(np.arange(len(self.at)), self.last - self.first + 1), span_hash(prefix_hash(self.data), start, start + WINDOW)
 
 
 class Block:
-    """All documents of a block and what the scans have told about them so far."""
+    """All documents of a block, ordered by id and text, and what the scans have told about them so far."""
 
-    def __init__(self, docs: pa.Table, told: pa.Table | None, shards: int):
+    def __init__(self, docs: pa.Table, shards: int, told: pa.Table | None = None):
         self.shards = shards
-        docs = docs.combine_chunks()
         self.number = docs.column("block")[0].as_py() if docs.num_rows else 0
+        docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
         self.ids = docs.column("doc_id").to_pylist()
         texts = pc.fill_null(docs.column("text"), "").combine_chunks() if docs.num_rows else pa.array([], pa.string())
         known = np.array([NO_ID if i is None else i for i in self.ids], np.int64)
-        size = np.cumsum(pc.binary_length(texts).to_numpy()) if len(texts) else np.zeros(0)
+        size = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())]).astype(np.int64)
         self.pieces, start = [], 0
         while start < len(texts):
-            base = size[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(size, base + PIECE, "right")))
-            self.pieces.append(Piece(known[start:stop], texts.slice(start, stop - start)))
+            stop = max(start + 1, int(np.searchsorted(size, size[start] + PIECE, "right")) - 1)
+            self.pieces.append(Piece(known[start:stop], texts.slice(start, stop - start), int(size[start])))
             start = stop
         self.told: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         if told is not None:
             for kind, shard, at, doc in zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "at", "docs"))):
                 self.told[kind, shard] = np.frombuffer(at, np.uint32), np.frombuffer(doc, np.int64)
 
+    # Anchors that a later scan needs are held as a row of the block itself.
+
+    def hold(self, kind: int) -> pa.Table:
+        rows = [np.concatenate([np.zeros(0, np.int64), *(getattr(p, x) + p.base for p in self.pieces)]).astype(np.uint32)
+                for x in ("at", "first", "last")]
+        return self._rows([-1], kind, [np.concatenate(rows).tobytes()], [b""])
+
+    def take(self, kind: int) -> None:
+        at, first, last = np.split(self.told[HELD, -1 - kind][0].astype(np.int64), 3) if (HELD, -1 - kind) in self.told else [np.zeros(0, np.int64)] * 3
+        bases = np.array([p.base for p in self.pieces] + [NO_ID])
+        edges = np.searchsorted(first, bases)
+        for p, i, j in zip(self.pieces, edges[:-1], edges[1:]):
+            p.keep(at[i:j] - p.base, first[i:j] - p.base, last[i:j] - p.base)
+
+    def gather(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and documents of (anchor numbers, hashes) by piece."""
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in parts)])
+        return hashes, np.concatenate([np.zeros(0, np.int64), *(p.ids[p.doc[w]] for p, (w, _) in zip(self.pieces, parts))])
+
     def sorted_keys(self, kind: int, hashes: np.ndarray, docs: np.ndarray):
         """In order of the distinct hashes: shard, key, least and greatest document; and which of them each hash is.
 
@@ -199,80 +219,93 @@ class Block:
         keys = sorted_[at]
         count = np.uint64(self.shards)
         shard = (((keys >> np.uint64(32)) * count) >> np.uint64(32)).astype(np.int64)
-        if kind == NEAR:
+        if kind in SHORT:
             keys = (keys * count) >> np.uint64(32)
         return shard, keys, least, most, group
 
+    def _rows(self, shards: list[int], kind: int, keys: list[bytes], docs: list[bytes]) -> pa.Table:
+        n = len(shards)
+        return pa.table({"shard": pa.array(shards, pa.int64()), "block": pa.array([self.number] * n, pa.int64()),
+                         "kind": pa.array([kind] * n, pa.int32()), "keys": pa.array(keys, pa.binary()),
+                         "docs": pa.array(docs, pa.binary())})
+
     def send(self, kind: int, hashes: np.ndarray, docs: np.ndarray) -> pa.Table:
         shard, keys, least, _, _ = self.sorted_keys(kind, hashes, docs)
         edges = np.searchsorted(shard, np.arange(self.shards + 1))
         rows = [s for s in range(self.shards) if edges[s] < edges[s + 1]]
-        wide = np.uint32 if kind == NEAR else np.uint64
-        return pa.table({
-            "shard": pa.array(rows, pa.int64()), "block": pa.array([self.number] * len(rows), pa.int64()),
-            "kind": pa.array([kind] * len(rows), pa.int32()),
-            "keys": pa.array([keys[edges[s]:edges[s + 1]].astype(wide).tobytes() for s in rows], pa.binary()),
-            "docs": pa.array([b"" if kind == NEAR else least[edges[s]:edges[s + 1]].tobytes() for s in rows], pa.binary())})
+        wide = np.uint32 if kind in SHORT else np.uint64
+        return self._rows(rows, kind, [keys[edges[s]:edges[s + 1]].astype(wide).tobytes() for s in rows],
+                          [b"" if kind in SHORT else least[edges[s]:edges[s + 1]].tobytes() for s in rows])
 
     def answers(self, kind: int, hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """For each hash: whether another document has it (near), or an earlier one (the other kinds)."""
+        """For each hash: whether another document has it (short kinds), or an earlier one (the others)."""
         shard, keys, least, most, group = self.sorted_keys(kind, hashes, docs)
-        if kind == NEAR:
-            found = least != most
+        found = least != most
         edges = np.searchsorted(shard, np.arange(self.shards + 1))
         for s in range(self.shards):
             if (kind, s) in self.told:
                 at, doc = self.told[kind, s]
                 at = at.astype(np.int64) + edges[s]
-                if kind == NEAR:
+                if kind in SHORT:
                     found[at] = True
                 else:
                     least[at] = np.minimum(least[at], doc)
-        return found[group] if kind == NEAR else least[group] < docs
-
-    def _gather(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        hashes, docs = (np.concatenate([none[i], *(p[i] for p in parts)]) for i in (0, 1))
-        return hashes, docs, np.cumsum([0] + [len(p[0]) for p in parts])
-
-    def near(self):
-        found = [p.near() for p in self.pieces]
-        return [f[0] for f in found], self._gather([(f[1], p.ids[p.doc[f[0]]]) for f, p in zip(found, self.pieces)])
-
-    def candidates(self) -> list[np.ndarray]:
-        which, (hashes, docs, at) = self.near()
-        yes = self.answers(NEAR, hashes, docs)
-        return [np.unique(w[yes[i:j]]) for w, i, j in zip(which, at[:-1], at[1:])]
-
-    def stretches(self):
-        which = self.candidates()
-        return which, self._gather([(p.stretch(w), p.ids[p.doc[w]]) for p, w in zip(self.pieces, which)])
-
-    def decided(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Anchors whose windows all repeat, and anchors whose windows must be looked at one by one."""
-        which, (hashes, docs, at) = self.stretches()
-        yes = self.answers(STRETCH, hashes, docs)
-        return ([w[yes[i:j]] for w, i, j in zip(which, at[:-1], at[1:])],
-                [w[~yes[i:j]] for w, i, j in zip(which, at[:-1], at[1:])])
-
-    def singles(self):
-        whole, rest = self.decided()
-        starts = [p.windows(w) for p, w in zip(self.pieces, rest)]
-        gathered = self._gather([(p.single(s), p.ids[p.doc[o]]) for p, (s, o) in zip(self.pieces, starts)])
-        return whole, [s for s, _ in starts], gathered
-
-    def covered(self) -> Iterator[tuple[Piece, np.ndarray]]:
-        """For each piece, which bytes repeat."""
-        whole, starts, (hashes, docs, at) = self.singles()
-        yes = self.answers(SINGLE, hashes, docs)
-        for piece, full, start, i, j in zip(self.pieces, whole, starts, at[:-1], at[1:]):
-            change = np.zeros(len(piece.data) + 1, np.int32)
-            np.add.at(change, piece.first[full], 1)
-            np.add.at(change, piece.last[full] + WINDOW, -1)
-            start = start[yes[i:j]]
-            np.add.at(change, start, 1)
-            np.add.at(change, start + WINDOW, -1)
-            yield piece, np.cumsum(change[:-1]) > 0
+        return found[group] if kind in SHORT else least[group] < docs
+
+    def narrow(self, kind: int, parts: list[tuple[np.ndarray, np.ndarray]], wanted: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Keep only the anchors for which some answer is `wanted`; returns first and last windows of the others, by piece."""
+        yes = self.answers(kind, *self.gather(parts))
+        others, start = [], 0
+        for piece, (which, hashes) in zip(self.pieces, parts):
+            stay = np.zeros(len(piece.at), bool)
+            stay[which[yes[start:start + len(hashes)] == wanted]] = True
+            start += len(hashes)
+            others.append((piece.first[~stay], piece.last[~stay]))
+            piece.keep(piece.at[stay], piece.first[stay], piece.last[stay])
+        return others
+
+
+def ask_near(block: Block) -> pa.Table:
+    for piece in block.pieces:
+        piece.find_anchors()
+    return block.send(NEAR, *block.gather([p.near() for p in block.pieces]))
+
+
+def ask_stretches(block: Block) -> pa.Table:
+    for piece in block.pieces:
+        piece.find_anchors()
+    block.narrow(NEAR, [p.near() for p in block.pieces], True)
+    return pa.concat_tables([block.hold(STRETCH), block.send(STRETCH, *block.gather([p.stretches() for p in block.pieces]))])
+
+
+def ask_rest(block: Block) -> pa.Table:
+    block.take(STRETCH)
+    block.narrow(STRETCH, [p.stretches() for p in block.pieces], False)
+    return pa.concat_tables([block.hold(REST), block.send(REST, *block.gather([p.near() for p in block.pieces]))])
+
+
+def ask_singles(block: Block) -> pa.Table:
+    block.take(REST)
+    block.narrow(REST, [p.near() for p in block.pieces], True)
+    return pa.concat_tables([block.hold(SINGLE), block.send(SINGLE, *block.gather([p.singles() for p in block.pieces]))])
+
+
+def covered(block: Block) -> Iterator[tuple[Piece, np.ndarray]]:
+    """For each piece, which bytes repeat."""
+    block.take(STRETCH)
+    whole = block.narrow(STRETCH, [p.stretches() for p in block.pieces], False)
+    block.take(SINGLE)
+    yes = block.answers(SINGLE, *block.gather([p.singles() for p in block.pieces]))
+    used = 0
+    for piece, (first, last) in zip(block.pieces, whole):
+        start = piece.windows()
+        start, used = start[yes[used:used + len(start)]], used + len(start)
+        change = np.zeros(len(piece.data) + 1, np.int32)
+        np.add.at(change, first, 1)
+        np.add.at(change, last + WINDOW, -1)
+        np.add.at(change, start, 1)
+        np.add.at(change, start + WINDOW, -1)
+        yield piece, np.cumsum(change[:-1]) > 0
 
 
 SENT = "shard long, block long, kind int, keys binary, docs binary"
@@ -285,24 +318,29 @@ def removed_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     blocks = Blocks(spark, docs, F.col("doc_id").cast("long"), F.col("text").cast("string"))
     count = blocks.count
     parts = lambda: blocks.read().groupBy("block")
-    scan = lambda sent: scratch.write(sent.groupBy("shard").applyInArrow(scan_batches, TOLD))
-
-    def first(docs: pa.Table) -> pa.Table:
-        block = Block(docs, None, count)
-        return block.send(NEAR, *block.near()[1][:2])
-
-    def second(docs: pa.Table, told: pa.Table) -> pa.Table:
-        block = Block(docs, told, count)
-        return block.send(STRETCH, *block.stretches()[1][:2])
-
-    def third(docs: pa.Table, told: pa.Table) -> pa.Table:
-        block = Block(docs, told, count)
-        return block.send(SINGLE, *block.singles()[2][:2])
+    def alone(ask):
+        return lambda docs: ask(Block(docs, count))
+
+    def informed(ask):
+        return lambda docs, told: ask(Block(docs, count, told))
+
+    told = None
+    for ask in (ask_near, ask_stretches, ask_rest, ask_singles):
+        if told is None:
+            sent = parts().applyInArrow(alone(ask), SENT)
+        else:
+            sent = parts().cogroup(told.groupBy("block")).applyInArrow(informed(ask), SENT)
+        sent = scratch.write(sent)
+        found = scratch.write(sent.where("shard >= 0").groupBy("shard").applyInArrow(scan_batches, TOLD))
+        held = scratch.write(sent.where("shard < 0").select(
+            "block", F.lit(HELD).alias("kind"), (-1 - F.col("kind")).cast("long").alias("shard"), F.col("keys").alias("at"), "docs"))
+        scratch.drop(sent)
+        told = found.unionByName(held) if told is None else told.unionByName(found).unionByName(held)
 
     def last(docs: pa.Table, told: pa.Table) -> pa.Table:
-        block = Block(docs, told, count)
+        block = Block(docs, count, told)
         out = {"n_bytes": [], "starts": [], "ends": [], "kept": []}
-        for piece, gone in block.covered():
+        for piece, gone in covered(block):
             for i, j in zip(piece.bounds[:-1], piece.bounds[1:]):
                 mine = gone[i:j]
                 out["n_bytes"].append(j - i)
@@ -314,12 +352,8 @@ def removed_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
                          "starts": pa.array(out["starts"], pa.list_(pa.int64())),
                          "ends": pa.array(out["ends"], pa.list_(pa.int64())), "kept": pa.array(out["kept"], pa.binary())})
 
-    told = scan(parts().applyInArrow(first, SENT))
-    told = told.unionByName(scan(parts().cogroup(told.groupBy("block")).applyInArrow(second, SENT)))
-    told = told.unionByName(scan(parts().cogroup(told.groupBy("block")).applyInArrow(third, SENT)))
-    out = parts().cogroup(told.groupBy("block")).applyInArrow(
+    return parts().cogroup(told.groupBy("block")).applyInArrow(
         last, "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
-    return out
 
 
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
