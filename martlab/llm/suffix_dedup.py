@@ -22,6 +22,7 @@ without an id lose nothing and take nothing from others; further columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -324,18 +325,24 @@ def removed_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def informed(ask):
         return lambda docs, told: ask(Block(docs, count, told))
 
-    told = None
-    for ask in (ask_near, ask_stretches, ask_rest, ask_singles):
-        if told is None:
-            sent = parts().applyInArrow(alone(ask), SENT)
+    def scan(kind, ask, *known):
+        """Ask one question of all blocks; the answers, and the anchors that the blocks hold for later."""
+        if known:
+            sent = parts().cogroup(reduce(DataFrame.unionByName, known).groupBy("block")).applyInArrow(informed(ask), SENT)
         else:
-            sent = parts().cogroup(told.groupBy("block")).applyInArrow(informed(ask), SENT)
+            sent = parts().applyInArrow(alone(ask), SENT)
         sent = scratch.write(sent)
         found = scratch.write(sent.where("shard >= 0").groupBy("shard").applyInArrow(scan_batches, TOLD))
         held = scratch.write(sent.where("shard < 0").select(
-            "block", F.lit(HELD).alias("kind"), (-1 - F.col("kind")).cast("long").alias("shard"), F.col("keys").alias("at"), "docs"))
+            "block", F.lit(HELD).alias("kind"), F.lit(-1 - kind).cast("long").alias("shard"), F.col("keys").alias("at"), "docs"))
         scratch.drop(sent)
-        told = found.unionByName(held) if told is None else told.unionByName(found).unionByName(held)
+        return found, held
+
+    near = scan(NEAR, ask_near)
+    stretches = scan(STRETCH, ask_stretches, near[0])
+    rest = scan(REST, ask_rest, *stretches)
+    singles = scan(SINGLE, ask_singles, *rest)
+    scratch.drop(*near, *rest)
 
     def last(docs: pa.Table, told: pa.Table) -> pa.Table:
         block = Block(docs, count, told)
@@ -352,7 +359,7 @@ def removed_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
                          "starts": pa.array(out["starts"], pa.list_(pa.int64())),
                          "ends": pa.array(out["ends"], pa.list_(pa.int64())), "kept": pa.array(out["kept"], pa.binary())})
 
-    return parts().cogroup(told.groupBy("block")).applyInArrow(
+    return parts().cogroup(reduce(DataFrame.unionByName, stretches + singles).groupBy("block")).applyInArrow(
         last, "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
 
 
