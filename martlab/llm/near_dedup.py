@@ -147,7 +147,8 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
         return near.join(tu, "du").join(tv, "dv").select("u", "v", "tu", "tv").mapInArrow(
             similar, "u long, v long").distinct()
 
-    classes, links = linked_classes(spark, bands, verify)
+    classes, links = linked_classes(
+        spark, bands, verify, things.select(F.col("same").alias("id"), F.col("marks").alias("sketch")), SURELY_LESS)
     return rows, classes.select(F.col("id").alias("same"), "label"), links
 
 

@@ -1,43 +1,87 @@
 """Links between similar things from banded signatures, without all pairs of a bucket and without losing a link.
 
 Members of a bucket are first compared with one of them only. After the links found so far are contracted to components,
-members of a bucket that ended in different components are compared with each other, so every pair that meets in a bucket either
-is in one component or has been compared. A bucket of near copies costs one comparison a member.
+members of a bucket that ended in different components are compared by short sketches inside their task (a large bucket in tiles of
+bounded size), and only pairs whose sketches agree enough go on to verification. So every pair that meets in a bucket is in one
+component, verified, or surely not similar.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
+TILE = 512
 
-def linked_classes(spark: SparkSession, bands: DataFrame,
-                   verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Classes (id, label) and links (u, v) from `bands` (bucket, id), ids being distinct things.
 
-    `verify` takes pairs (u, v), u < v, and returns those that are similar. Ids without a link are in no class.
+def sketch_pairs(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs (u, v) from rows sorted by key: one key, two labels, and sketches that agree in `least` of their bytes."""
+
+    def pairs_of(key: np.ndarray, ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        found = [np.zeros((0, 2), np.int64)]
+        rows, step = np.arange(len(ids)), 1
+        while len(rows := rows[rows + step < len(ids)]):
+            rows = rows[key[rows] == key[rows + step]]
+            near = rows[labels[rows] != labels[rows + step]]
+            for at in range(0, len(near), 65536):
+                some = near[at:at + 65536]
+                some = some[(sketch[some] == sketch[some + step]).mean(1) >= least]
+                found.append(np.sort(np.stack([ids[some], ids[some + step]], 1), 1))
+            step += 1
+        out = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(c).to_numpy() for c in ("key", "id", "label")]
+            now.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            if rest is not None:
+                now = [np.concatenate([a, b]) for a, b in zip(rest, now)]
+            # the last group may go on in the next batch
+            cut = int(np.flatnonzero(now[0] == now[0][-1])[0])
+            rest = [x[cut:] for x in now]
+            yield pairs_of(*(x[:cut] for x in now))
+        if rest is not None:
+            yield pairs_of(*rest)
+
+    return run
+
+
+def linked_classes(spark: SparkSession, bands: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame,
+                   least: float) -> tuple[DataFrame, DataFrame]:
+    """Classes (id, label) and links (u, v) from distinct `bands` (bucket, id), ids being distinct things.
+
+    `verify` takes pairs (u, v), u < v, and returns those that are similar. `sketches` (id, sketch) have equal lengths; pairs that
+    agree in a smaller share of their bytes than `least` are surely not similar. Ids without a link are in no class.
     """
     scratch = Scratch(spark, "links")
     # a bucket with one member gives no pair; its extremes show that before anything is joined
-    ends = bands.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    shared = scratch.write(bands.join(ends.select("bucket", "first"), "bucket").distinct())
-    stars = shared.where("first < id").select(F.col("first").alias("u"), F.col("id").alias("v")).distinct()
-    links = scratch.write(verify(scratch.write(stars)))
+    ends = bands.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("members")).where(
+        "first < last")
+    shared = scratch.write(bands.join(ends.select("bucket", "first", "members"), "bucket"))
+    stars = scratch.write(shared.where("first < id").select(F.col("first").alias("u"), F.col("id").alias("v")).distinct())
+    links = scratch.write(verify(stars))
     classes = components(spark, links)
     placed = scratch.write(
-        shared.join(classes, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")))
+        shared.join(classes, "id", "left").select("bucket", "members", "id", F.coalesce("label", "id").alias("label")))
     mixed = (placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
              .where("low < high").select("bucket"))
-    open_ = scratch.write(placed.join(mixed, "bucket", "left_semi"))
-    left = open_.select("bucket", F.col("id").alias("u"), F.col("label").alias("lu"))
-    right = open_.select("bucket", F.col("id").alias("v"), F.col("label").alias("lv"))
-    pairs = (left.join(right, "bucket").where("lu < lv")
-             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-             .join(stars, ["u", "v"], "left_anti"))
+    open_ = (placed.join(mixed, "bucket", "left_semi")
+             .withColumn("tiles", F.ceil(F.col("members") / TILE).cast("long"))
+             .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("tiles")))
+             .withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
+             .select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "id", "label"))
+    pairs = (open_.join(sketches, "id").select("key", "id", "label", "sketch").repartition("key").sortWithinPartitions("key")
+             .mapInArrow(sketch_pairs(least), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti"))
     more = scratch.write(verify(scratch.write(pairs)))
     links = scratch.write(links.unionByName(more))
     return components(spark, links), links

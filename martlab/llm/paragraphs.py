@@ -31,6 +31,8 @@ from .shingles import flat_words, mix, runs, weighted_sets
 
 SIMILARITY = 0.8
 BANDS, ROWS = bands_and_rows(SIMILARITY, 0.999, range(2, 5), most=16)
+# five standard deviations of the agreement of two lines at the similarity
+SURELY_LESS = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS)) ** 0.5
 LINE_WORDS = 12
 CHUNKED, CUT = 30, np.uint64(16)
 PASSAGE_WORDS = 30
@@ -73,17 +75,19 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = np.full(part.num_rows, np.iinfo(np.int64).max)
             np.minimum.at(base, owner, bounds[:-1])
             long_ = np.flatnonzero(count >= LINE_WORDS)
-            bands: list = []
+            bands, marks = [], np.zeros((0, BANDS * ROWS), np.uint8)
             if len(long_):
                 keep = np.zeros(len(count), bool)
                 keep[long_] = True
                 word_keep = np.repeat(keep, count)
                 shingles, at = runs(words[word_keep], np.concatenate([[0], np.cumsum(count[long_])]))
                 table = np.empty((len(long_), BANDS), np.uint64)
+                marks = np.empty((len(long_), BANDS * ROWS), np.uint8)
                 for band in range(BANDS):
                     key = np.full(len(long_), band, np.uint64)
                     for i in range(band * ROWS, band * ROWS + ROWS):
-                        key = mix(key + np.minimum.reduceat(shingles * FACTORS[i] + TERMS[i], at[:-1]))
+                        least = mix(np.minimum.reduceat(shingles * FACTORS[i] + TERMS[i], at[:-1]))
+                        key, marks[:, i] = mix(key + least), (least & np.uint64(255)).astype(np.uint8)
                     table[:, band] = key
                 bands = table.view(np.int64)
             # chunks of long lines
@@ -105,7 +109,10 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 pa.array(doc, pa.int64()), pa.array(piece.view(np.int64)), pa.array(first - base[owner[where]]),
                 pa.array(last - base[owner[where]]), pa.ListArray.from_arrays(offsets, flat),
-            ], ["doc_id", "piece", "first", "last", "bands"])
+                pa.array([m.tobytes() for m in marks], pa.binary()).take(
+                    pa.array(np.concatenate([np.cumsum(sizes > 0) - 1, np.zeros(len(stop), np.int64)]),
+                             mask=np.concatenate([sizes == 0, np.ones(len(stop), bool)]))),
+            ], ["doc_id", "piece", "first", "last", "bands", "marks"])
 
 
 def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,9 +134,14 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "repeats")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL")
-    units = scratch.write(docs.mapInArrow(pieces, "doc_id long, piece long, first long, last long, bands array<long>"))
-    bands = units.where("size(bands) > 0").select(F.posexplode("bands").alias("band", "hash"), F.col("piece").alias("id")).select(
-        F.xxhash64("band", "hash").alias("bucket"), "id").distinct()
+    made = scratch.write(docs.mapInArrow(
+        pieces, "doc_id long, piece long, first long, last long, bands array<long>, marks binary"))
+    units = scratch.write(made.select("doc_id", "piece", "first", "last"))
+    lines = scratch.write(made.where("marks IS NOT NULL").groupBy("piece").agg(
+        F.first("bands").alias("bands"), F.first("marks").alias("marks")))
+    scratch.drop(made)
+    bands = lines.select(F.posexplode("bands").alias("band", "hash"), F.col("piece").alias("id")).select(
+        F.xxhash64("band", "hash").alias("bucket"), "id")
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = scratch.write(pairs.select(F.explode(F.array("u", "v")).alias("piece")).distinct())
@@ -149,13 +161,15 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
         tu, tv = (texts.select(F.col("piece").alias(x), F.col("line").alias(f"t{x}")) for x in "uv")
         return pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(similar, "u long, v long")
 
-    classes, _ = linked_classes(spark, bands, verify)
+    classes, _ = linked_classes(
+        spark, bands, verify, lines.select(F.col("piece").alias("id"), F.col("marks").alias("sketch")), SURELY_LESS)
+    scratch.drop(lines)
     firsts = scratch.write(units.groupBy("piece").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
                            .join(classes.withColumnRenamed("id", "piece"), "piece", "left")
                            .where("least < most OR label IS NOT NULL"))
     heads = firsts.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("head"))
     sources = firsts.join(heads, "label", "left").select("piece", F.coalesce("head", "least").alias("source"))
-    return (units.select("doc_id", "piece", "first", "last").join(sources, "piece").where("source < doc_id")
+    return (units.join(sources, "piece").where("source < doc_id")
             .select("doc_id", "first", "last", "source").distinct())
 
 

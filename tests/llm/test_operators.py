@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from checks.compare import oracle_connection, rows_of
-from martlab.llm import bpe, chat, decontaminate, language, near_dedup, packing, paragraphs, quality, suffix_dedup, topk
+from martlab.llm import bpe, chat, decontaminate, language, near_dedup, nearlinks, packing, paragraphs, quality, suffix_dedup, topk
 from martlab.llm.common import components
 from martlab.llm.nearlinks import bands_and_rows, linked_classes
 
@@ -280,10 +280,24 @@ def test_links_reach_across_a_bucket(spark):
     # 1 and 2 share a bucket with 0 but are like each other only; 3-4 chain through another bucket
     bands = spark.createDataFrame([(1, 0), (1, 1), (1, 2), (2, 2), (2, 3), (3, 3), (3, 4), (4, 9)], "bucket long, id long")
     like = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "u long, v long")
-    classes, links = linked_classes(spark, bands, lambda pairs: pairs.join(like, ["u", "v"], "left_semi"))
+    classes, links = linked_classes(spark, bands, lambda pairs: pairs.join(like, ["u", "v"], "left_semi"),
+                                    bands.select("id", F.lit(b"same").alias("sketch")).distinct(), 0.5)
     assert dict(map(tuple, classes.collect())) == {1: 1, 2: 1, 3: 1, 4: 1} and links.count() == 3
 
 
+def test_sketch_pairs_across_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    key = np.sort(rng.integers(0, 6, 80))
+    ids, labels, sketch = np.arange(80), rng.integers(0, 4, 80), rng.integers(0, 2, (80, 8)).astype(np.uint8)
+    rows = pa.table({"key": key, "id": ids, "label": labels, "sketch": pa.array([x.tobytes() for x in sketch], pa.binary())})
+    got = [tuple(r.values()) for b in nearlinks.sketch_pairs(0.7)(iter(rows.to_batches(max_chunksize=7))) for r in b.to_pylist()]
+    want = [(i, j) for i in range(80) for j in range(i + 1, 80)
+            if key[i] == key[j] and labels[i] != labels[j] and (sketch[i] == sketch[j]).mean() >= 0.7]
+    assert sorted(got) == want
+
+
 def test_components(spark):
     rng = np.random.default_rng(9)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (1, 2), (2, 1)]
