@@ -20,9 +20,6 @@ MICROS_PER_DAY = 86_400_000_000
 TRUE_TEXTS = ("true", "t", "yes", "y", "1")
 FALSE_TEXTS = ("false", "f", "no", "n", "0")
 
-# Years outside this range cannot be held by a nanosecond timestamp and count as unparseable.
-YEAR_MIN, YEAR_MAX = 1678, 2261
-
 # Formats tried after the ISO forms, by the shape of the text. A failing parse costs an exception per row, so only
 # formats that can fit are tried.
 FORMATS_BY_SHAPE = {
@@ -36,6 +33,12 @@ FORMATS_BY_SHAPE = {
     r"^[A-Za-z]{3} \d{1,2}, \d{4}\z": ("MMM d, yyyy",),
     r"^[A-Za-z]{4,9} \d{1,2}, \d{4}\z": ("MMMM d, yyyy",),
     r"^\d{8}\z": ("yyyyMMdd",),
+    r"^\d{1,2}-[A-Za-z]{3}-\d{4}\z": ("d-MMM-yyyy",),
+    r"^\d{1,2} [A-Za-z]{4,9} \d{4}\z": ("d MMMM yyyy",),
+    r"^[A-Za-z]{3} \d{1,2} \d{4}\z": ("MMM d yyyy",),
+    r"^[A-Za-z]{4,9} \d{1,2} \d{4}\z": ("MMMM d yyyy",),
+    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}:\d{2}\.\d{3}\z": ("M/d/yyyy H:mm:ss.SSS",),
+    r"^\d{1,2}\.\d{1,2}\.\d{4}\z": ("M.d.yyyy",),
 }
 
 # Type names of the mapping and what they stand for.
@@ -80,10 +83,6 @@ def localize(stamp: Column, tz: str) -> Column:
     return F.when(ok, instant)
 
 
-def _plausible(c: Column) -> Column:
-    return F.when(F.year(c).between(YEAR_MIN, YEAR_MAX), c)
-
-
 def _text_to_timestamp(text: Column) -> Column:
     tries = [text.try_cast("timestamp_ntz")]
     for shape, formats in FORMATS_BY_SHAPE.items():
@@ -105,7 +104,7 @@ def to_timestamp_column(c: Column, dtype: T.DataType) -> Column:
     # Numeric text must never reach the date parser, which would read '47521' as a year.
     eight_digits = text.rlike(r"^\d{8}\z")
     parsed = _text_to_timestamp(F.when(~text.rlike(SERIAL_TEXT) | eight_digits, text))
-    return F.when(text.rlike(SERIAL_TEXT) & ~eight_digits, serial_to_timestamp(text)).otherwise(_plausible(parsed))
+    return F.when(text.rlike(SERIAL_TEXT) & ~eight_digits, serial_to_timestamp(text)).otherwise(parsed)
 
 
 def to_date_column(c: Column, dtype: T.DataType) -> Column:

@@ -47,7 +47,7 @@ def signal_strength(percentage: str | Column, population: str | Column) -> Colum
 
 def decimals_text(value: str | Column, digits: int = 2) -> Column:
     v = as_column(value)
-    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v.cast("double")))
+    return F.when(v.isNotNull(), F.call_function("format_number", v.cast("double"), F.lit("0." + "0" * digits if digits else "0")))
 
 
 def yes_no(flag: str | Column) -> Column:

@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.guard import sql_literal
 from .dates import as_column
 
 # State, district and territory names with their two-letter postal codes.
@@ -118,10 +118,16 @@ def normalize_state(c: str | Column, lookup: Mapping[str, str] = US_STATES) -> C
     for name, code in lookup.items():
         entries.setdefault(name.upper(), code.upper())
     entries.update({code.upper(): code.upper() for code in lookup.values()})
-    table = F.expr("map(" + ", ".join(sql_literal(v) for pair in entries.items() for v in pair) + ")")
+    table = F.create_map(*[F.lit(v) for pair in entries.items() for v in pair])
     return F.when(key != "", F.try_element_at(table, key))
 
 
-def pieces(*parts: Column, sep: str = " | ", missing: str = "(null)") -> Column:
-    """Parts joined by a separator, with a visible text for NULL."""
-    return F.concat_ws(sep, *[F.coalesce(p.cast("string"), F.lit(missing)) for p in parts])
+def shown(c: Column, dtype: T.DataType) -> Column:
+    """A value as users see it: `True` and `False`, and doubles from 0.0001 up to 1e16 in plain digits with a decimal point."""
+    text = c.cast("string")
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, "True").when(~c, "False")
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+\z", "$1")
+        return F.when((F.abs(c) >= 1e-4) & (F.abs(c) < 1e16), plain).otherwise(text)
+    return text

@@ -32,7 +32,8 @@ def apply_changes(
     checked = changes.select(key, known.alias("_field"), F.col(value).alias("_value"), F.col(order).alias("_order"))
     latest = checked.groupBy(key).agg(
         *[
-            F.max_by(F.when(F.col("_field") == f, F.col("_value")), F.when(F.col("_field") == f, F.col("_order"))).alias(f"_new_{f}")
+            # fields hold no NULL, so a NULL edit is refused and leaves the edit before it in force
+            F.max_by("_value", F.when((F.col("_field") == f) & F.col("_value").isNotNull(), F.col("_order"))).alias(f"_new_{f}")
             for f in editable
         ]
     )

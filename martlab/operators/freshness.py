@@ -118,13 +118,13 @@ def gated_run(
     try:
         ready = sources_ready(freshness()).first()["sources_ready"]
     except Exception as error:
-        return record(ERROR, FRESHNESS_FAILED, None, False, str(error)[:2000])
+        return record(ERROR, FRESHNESS_FAILED, None, False, str(error))
     if not ready:
         return record(SKIPPED_SOURCES, MESSAGES[SKIPPED_SOURCES], False, False, None)
     try:
         job()
     except Exception as error:
-        return record(ERROR, MESSAGES[ERROR], True, False, str(error)[:2000])
+        return record(ERROR, MESSAGES[ERROR], True, False, str(error))
     return record(SUCCESS, MESSAGES[SUCCESS], True, False, None)
 
 

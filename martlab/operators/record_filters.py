@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import number_from_text
+from ..functions.text import shown
 
 ALL = "All"
 ALL_MONTHS = "All months"
@@ -38,7 +39,7 @@ def _number(df: DataFrame, column: str) -> Column:
 def _condition(df: DataFrame, column: str, spec: Mapping[str, Any]) -> Column:
     if spec["mode"] == "set":
         allowed = [str(v) for v in spec["allowed"]]
-        text = F.col(column).cast("string")
+        text = shown(F.col(column), df.schema[column].dataType)
         hit = text.isin(*allowed) if allowed else F.lit(False)
         # A missing value shows as the text None.
         return hit | text.isNull() if "None" in allowed else hit
@@ -67,7 +68,7 @@ def apply_column_filters(df: DataFrame, filters: Mapping[str, Mapping | None]) -
 def facet_values(df: DataFrame, filters: Mapping[str, Mapping | None], column: str) -> DataFrame:
     """Distinct texts of a column under the filters of all other columns, sorted without regard to case."""
     others = {c: s for c, s in filters.items() if c != column}
-    text = F.coalesce(F.col(column).cast("string"), F.lit("None")).alias("value")
+    text = F.coalesce(shown(F.col(column), df.schema[column].dataType), F.lit("None")).alias("value")
     return apply_column_filters(df, others).select(text).distinct().orderBy(F.lower("value"), "value")
 
 
@@ -80,7 +81,7 @@ def typed_sort(df: DataFrame, column: str, *, kind: str = "str", ascending: bool
     if kind == "num":
         key = F.coalesce(_number(df, column).cast("double"), F.lit(float("inf")))
     else:
-        key = F.lower(F.coalesce(F.col(column).cast("string"), F.lit("None")))
+        key = F.lower(F.coalesce(shown(F.col(column), df.schema[column].dataType), F.lit("None")))
     order = [key.asc() if ascending else key.desc()]
     return df.orderBy(*order, *([F.col(then)] if then else []), F.monotonically_increasing_id())
 
@@ -94,7 +95,8 @@ def search_records(df: DataFrame, term: str | None, limit: int = 50) -> DataFram
     elif term.isdigit():
         hit = F.col("id") == int(term)
     else:
-        pattern = f"%{term}%"
+        # `%` and `_` are wildcards, as in the search box; a backslash is an ordinary character
+        pattern = "%" + term.replace("\\", "\\\\") + "%"
         hit = F.col("category").ilike(pattern) | F.col("item").ilike(pattern)
     found = df.where(hit).select(*columns).orderBy("id").limit(limit)
     label = F.concat_ws(" | ", F.col("id"), F.col("category"), F.col("item"), F.concat(F.lit("m="), F.col("month")))

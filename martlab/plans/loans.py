@@ -79,12 +79,15 @@ REAL_ESTATE_CODES = ("RE", "REAL_ESTATE", "CRE", "LAND")
 CONSTRUCTION_PHASES = ("CONSTRUCTION", "MINI-PERM")
 CONSTRUCTION_PRODUCTS = ("%ARC%", "%CONSTRUCTION%")
 
+# Texts of a flag that is not set; a boolean column uses the boolean.
+FALSE_FLAGS = ["false", "False", "FALSE", "f", "F", "no", "No", "NO", "n", "N", "0"]
+
 # Segment filters as filter trees; the first is the default.
 SEGMENTS = {
     "call_report": {"col": "call_report_code", "op": "==", "value": SEGMENT_CODE},
     "occupancy": {"and": [{"col": "occupancy_type_code", "op": "==", "value": "NOO"},
                           {"col": "loan_type_code", "op": "in", "value": ["CRE", "RE", "COMM_RE"]}]},
-    "owner_flag": {"and": [{"col": "owner_occupied_flag", "op": "==", "value": False},
+    "owner_flag": {"and": [{"col": "owner_occupied_flag", "op": "in", "value": [False, *FALSE_FLAGS]},
                            {"col": "loan_type_code", "op": "in", "value": ["CRE", "RE"]}]},
 }
 

@@ -21,4 +21,6 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     A header that does not match the schema, or a broken row, fails the job.
     """
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    # quotes are doubled inside quotes, and a quoted text may hold line breaks
+    reader = reader.option("escape", '"').option("multiLine", True)
     return reader.csv(path)

@@ -76,6 +76,8 @@ def sql_literal(value: Any, dialect: str = "postgres") -> str:
     if isinstance(value, dt.date):
         return f"CAST('{value.isoformat()}' AS DATE)" if transact else f"DATE '{value.isoformat()}'"
     if isinstance(value, str):
+        if dialect == "snowflake":
+            value = value.replace("\\", "\\\\")  # a backslash is an escape inside its quotes
         return ("N'" if transact else "'") + value.replace("'", "''") + "'"
     if isinstance(value, (list, tuple)):
         return "(" + ", ".join(sql_literal(v, dialect) for v in value) + ")"

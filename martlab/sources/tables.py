@@ -73,9 +73,18 @@ def write_table(
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
+    aside = f"{staging}_old"
     if present:
-        spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    except Exception:
+        if present:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    if present:
+        spark.sql(f"DROP TABLE {aside}")
     return seen.get["rows"]
 
 
@@ -94,7 +103,7 @@ def export_files(df: DataFrame, path: str, file_format: str = "parquet") -> None
     """Files for a reporting tool, one per partition; the folder must not exist yet."""
     writer = df.write.mode("errorifexists")
     if file_format == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     elif file_format == "parquet":
         writer.parquet(path)
     else:
