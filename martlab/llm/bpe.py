@@ -1,12 +1,11 @@
-"""Byte-level BPE encoding and decoding with Spark higher-order functions.
+"""Byte-level BPE encoding and decoding by ranked merges over distinct words.
 
-A table of ranks is one literal in the plan: an array of buckets by CRC-32, each with the few tokens that fall into it.
-The distinct words of a batch of documents (matches of the splitting pattern) are encoded once: a fold over the bytes of a word
-keeps its parts and the rank of each neighbouring pair, joins the leftmost pair of least rank, and looks up only the two pairs that
-changed. Documents then take the ids of their words by position. Decoding concatenates the tokens' bytes.
+Documents are encoded where they are read: a task splits its texts into words (matches of the splitting pattern), folds the ranked
+merges over the bytes of each word it has not met, and joins the ids of the words by position. The table of ranks is broadcast;
+its size is that of a tokenizer's vocabulary, whatever the corpus. No text or word is shuffled. Decoding concatenates the tokens' bytes.
 
-The one Python step finds the words and numbers them within a batch (about 32 MB of text, or one document if that is
-longer); it keeps documents in their task, so no text or word is shuffled and nothing grows with the vocabulary of the corpus.
+Words met before are remembered by the Python worker, up to `REMEMBERED` of them; then it starts anew. That bounds memory and
+changes no result.
 
 Defined cases: null and empty texts have no ids; special tokens do not exist, their strings are ordinary text; a byte that is no
 token is refused when the ranks are read; rows may repeat; further columns are ignored; empty input gives no rows.
@@ -15,22 +14,23 @@ token is refused when the ranks are read; rows may repeat; further columns are i
 from __future__ import annotations
 
 import base64
-import json
-import zlib
+import heapq
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 32 << 20
-BUCKETS = 1 << 16
+from .common import slices
+
+REMEMBERED = 1 << 19
+SHORT = 64  # bytes up to which looking at every pair is cheaper than a heap
+_remembered: dict[str, dict[str, tuple[str, int, bytes]]] = {}
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
-    """Token ranks of a file with one base64 token and its rank per line, read on the driver as it is part of the plan."""
+    """Token ranks of a file with one base64 token and its rank per line, read on the driver and broadcast by its callers."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     lacking = [b for b in range(256) if bytes([b]) not in ranks]
@@ -39,127 +39,97 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     return ranks
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` over a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """Ranks by hexadecimal token: a literal array of small maps, as one large map would be searched from end to end."""
-    buckets: list[dict] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        key = token.hex().upper()
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-
-
-def rank_of(table: Column, token: Column) -> Column:
-    """Rank of a token in hexadecimal, null if there is none."""
-    return F.try_element_at(F.get(table, F.crc32(token.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), token)
-
-
-def encode_word(table: Column, word: Column) -> Column:
-    """Ids of one word, given in hexadecimal.
-
-    The fold's state is an array of parts, each with the rank of the pair that it ends (null where that is no token), and
-    a last element without a part. A step joins the leftmost pair of least rank and ranks its two neighbours anew.
-    """
-    ended = F.struct(F.lit(None).cast("string").alias("p"), F.lit(None).cast("int").alias("r"))
-
-    def step(state: Column, _: Column) -> Column:
-        def merged(least: Column) -> Column:
-            at = least.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-            before, after = F.get(state, at - 2)["p"], F.get(state, at + 1)["p"]
-            new = F.concat(F.get(state, at - 1)["p"], F.get(state, at)["p"])
-            return F.concat(
-                F.slice(state, F.lit(1), at - 1),
-                F.array(F.struct(new.alias("p"), rank_of(table, F.concat(before, new)).alias("r")),
-                        F.struct(after.alias("p"), rank_of(table, F.concat(new, after)).alias("r"))),
-                F.slice(state, at + 3, F.size(state)))
+def encode_word(ranks: dict[bytes, int], word: bytes) -> list[int]:
+    """Ids of one word: the leftmost pair of least rank is joined until no pair of neighbours is a token."""
+    whole = ranks.get(word)
+    if whole is not None:
+        return [whole]
+    if len(word) > SHORT:
+        return encode_long_word(ranks, word)
+    none = 1 << 62
+    parts = [word[i:i + 1] for i in range(len(word))]
+    pair = [ranks.get(word[i:i + 2], none) for i in range(len(word) - 1)]
+    while pair:
+        least = min(pair)
+        if least == none:
+            break
+        at = pair.index(least)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pair[at]
+        if at:
+            pair[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+        if at < len(pair):
+            pair[at] = ranks.get(parts[at] + parts[at + 1], none)
+    return [ranks[p] for p in parts]
+
+
+def encode_long_word(ranks: dict[bytes, int], word: bytes) -> list[int]:
+    """The same with a heap of pairs; time grows as n log n with the bytes of a word."""
+    n = len(word)
+    stop = list(range(1, n + 1))  # where the part that starts here ends; 0 once it has joined the part before it
+    before = list(range(-1, n))
+    heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i:i + 2])) is not None]
+    heapq.heapify(heap)
+
+    def offer(start: int) -> None:
+        middle = stop[start]
+        if middle < n and (rank := ranks.get(word[start:stop[middle]])) is not None:
+            heapq.heappush(heap, (rank, start, stop[middle]))
+
+    while heap:
+        _, start, end = heapq.heappop(heap)
+        middle = stop[start]
+        # an entry counts only while both of its parts are as they were
+        if not middle or middle >= n or stop[middle] != end:
+            continue
+        stop[start], stop[middle] = end, 0
+        before[end] = start
+        offer(start)
+        if start:
+            offer(before[start])
+    out, at = [], 0
+    while at < n:
+        out.append(ranks[word[at:stop[at]]])
+        at = stop[at]
+    return out
+
+
+def coder(ranks, pattern: str, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (doc_id, text) as (doc_id, ids, n_tokens, decoded); `ranks` is a broadcast table, `key` names it."""
 
-        # rank and position in one number, so the least is the leftmost pair of least rank
-        least = F.array_min(F.transform(state, lambda e, i: F.shiftleft(e["r"].cast("long"), 32).bitwiseOR(i.cast("long"))))
-        return let(least, lambda x: F.when(x.isNull(), state).otherwise(merged(x)))
-
-    def fold(word: Column) -> Column:
-        at = F.sequence(F.lit(0), F.shiftright(F.length(word), 1) - 1)
-        start = F.concat(F.transform(at, lambda i: F.struct(
-            F.substring(word, i * 2 + 1, F.lit(2)).alias("p"),
-            F.when(i > 0, rank_of(table, F.substring(word, i * 2 - 1, F.lit(4)))).alias("r"))), F.array(ended))
-        return F.aggregate(at, start, step, lambda state: F.transform(
-            F.slice(state, F.lit(1), F.size(state) - 1), lambda e: rank_of(table, e["p"])))
-
-    return F.when(word == "", F.array().cast("array<int>")).otherwise(
-        let(rank_of(table, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(fold(word))))
-
-
-def decode_ids(tokens: Column, ids: Column) -> Column:
-    """Bytes of an array of ids; `tokens` is the literal of `token_literal`."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
-
-
-def token_literal(ranks: dict[bytes, int]) -> Column:
-    """Hexadecimal bytes of each id, as one literal array."""
-    by_id = [""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        by_id[rank] = token.hex().upper()
-    return F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-
-
-def number_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches of documents as rows of the batch's distinct words and each document's word numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ranks.value
+        tokens = {rank: token for token, rank in table.items()}
         find = regex.compile(pattern).findall
-        numbers: dict[str, int] = {}
-        ids: list = []
-        codes: list = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            ends = np.cumsum([0] + [len(c) for c in codes]).astype(np.int32)
-            flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
-            docs = pa.StructArray.from_arrays(
-                [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "codes"])
-            words = pa.array([w.encode() for w in numbers], pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(np.array([0, len(x)], np.int32), x) for x in (words, docs)], ["words", "docs"])
+        known = _remembered.setdefault(key, {})
+
+        def coded(word: str) -> tuple[str, int, bytes]:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            ids = encode_word(table, word.encode())
+            known[word] = out = ",".join(map(str, ids)), len(ids), b"".join([tokens[i] for i in ids])
+            return out
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                found = find(text.as_py() or "")
-                for word in found:
-                    if word not in numbers:
-                        numbers[word] = len(numbers)
-                ids.append(doc)
-                codes.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-                size += len(text.as_py() or "")
-                if size >= BATCH_BYTES:
-                    yield flush()
-                    numbers, ids, codes, size = {}, [], [], 0
-        if ids:
-            yield flush()
+            for part in slices(batch, "text"):
+                ids, counts, decoded = [], [], []
+                for text in part.column("text").to_pylist():
+                    words = [known.get(w) or coded(w) for w in find(text or "")]
+                    ids.append(",".join([w[0] for w in words]))
+                    counts.append(sum([w[1] for w in words]))
+                    decoded.append(b"".join([w[2] for w in words]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(ids, pa.string()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())],
+                    ["doc_id", "ids", "n_tokens", "decoded"])
 
     return run
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, ids as decimal text joined by commas, n_tokens, and the bytes the ids decode to."""
-    ranks = read_ranks(spark, path)
-    table, tokens = rank_literal(ranks), token_literal(ranks)
-    batches = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        number_words(pattern), "words array<binary>, docs array<struct<doc_id:long,codes:array<int>>>")
-    coded = let(table, lambda table: F.transform("words", lambda w: let(encode_word(table, F.hex(w)), lambda ids: F.struct(
-        F.array_join(ids.cast("array<string>"), ",").alias("ids"), F.size(ids).alias("n"),
-        F.hex(decode_ids(tokens, ids)).alias("hex")))))
-
-    def spell(words: Column) -> Column:
-        return F.transform("docs", lambda d: F.struct(
-            d["doc_id"].alias("doc_id"),
-            F.array_join(F.transform(d["codes"], lambda c: F.get(words, c)["ids"]), ",").alias("ids"),
-            F.aggregate(d["codes"], F.lit(0).cast("long"), lambda n, c: n + F.get(words, c)["n"]).alias("n_tokens"),
-            F.unhex(F.array_join(F.transform(d["codes"], lambda c: F.get(words, c)["hex"]), "")).alias("decoded")))
-
-    return batches.select(F.explode(let(coded, spell)).alias("d")).select("d.*")
+    ranks = spark.sparkContext.broadcast(read_ranks(spark, path))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        coder(ranks, pattern, f"{path}\n{pattern}"), "doc_id long, ids string, n_tokens long, decoded binary")
 
 
 def token_digests(encoded: DataFrame) -> DataFrame:
