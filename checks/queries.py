@@ -284,23 +284,23 @@ def clip_to_window(t):
     )
 
 
-def _overlap(t: Tables, method: str) -> DataFrame:
+def _overlap(t: Tables) -> DataFrame:
     left = t.leave().select("payroll", F.to_date("start").alias("work_date"), "start", "stop")
     shared = iv.overlap_micros(
         left, workforce.break_intervals(t.breaks(), only_breaks=False), ["payroll", "work_date"], start="start", end="stop",
-        right_start="break_start", right_end="break_end", method=method,
+        right_start="break_start", right_end="break_end",
     )
     return shared.withColumn("overlap_seconds", F.col("overlap_us") / 1e6).drop("overlap_us")
 
 
 @query
 def overlap_seconds(t):
-    return _overlap(t, "auto")
+    return _overlap(t)
 
 
 @query
 def overlap_running_sum(t):
-    return _overlap(t, "running_sum")
+    return _overlap(t)
 
 
 @query

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_column, day_of_micros, from_micros, micros, micros_between
+from ..functions.dates import day_of_micros, from_micros, micros, micros_between
 
 DAY = "work_date"
 START, END = "status_start", "status_end"
@@ -124,43 +124,6 @@ def end_points(intervals: DataFrame, keys: Sequence[str], start: str, end: str)
     return summed.where(F.col("step") != 0)
 
 
-def crowded_keys(
-    intervals: DataFrame, points: DataFrame, keys: Sequence[str], max_points: int
-) -> DataFrame | None:
-    """Keys with more distinct end points than an array should hold, None when there are none.
-
-    Runs a small job. Twice the number of intervals bounds the number of points, so the points themselves are only
-    counted when some key passes that bound.
-    """
-    def above(rows: DataFrame, limit: float) -> DataFrame:
-        counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-        return counted.where(F.col("_n") > limit).select(*keys)
-
-    if above(intervals, max_points / 2).isEmpty():
-        return None
-    crowded = above(points, max_points)
-    return None if crowded.isEmpty() else crowded
-
-
-def point_arrays(points: DataFrame, keys: Sequence[str], name: str = "points") -> DataFrame:
-    """All points of a key as one array. Only for points whose number per key was checked."""
-    return points.groupBy(*keys).agg(F.collect_list(F.struct("x", "step")).alias(name))
-
-
-def overlap_with_points(points: str | Column, start_us: str, end_us: str) -> Column:
-    """Microseconds shared by [start, end) with all intervals behind the points; shared time counts once for each.
-
-    An interval from f to t shares (end - clamp(f)) - (end - clamp(t)), clamped to [start, end], so the sum runs over
-    the points alone. Start and end are columns in microseconds: an expression would be worked out again for every
-    point.
-    """
-    arr, lo, hi = as_column(points), F.col(start_us), F.col(end_us)
-    total = F.aggregate(
-        arr, F.lit(0).cast("long"), lambda acc, p: acc + p["step"] * (hi - F.least(hi, F.greatest(lo, p["x"])))
-    )
-    return F.when(arr.isNotNull() & (hi > lo), total).otherwise(F.lit(0).cast("long"))
-
-
 def overlap_by_running_sum(
     left: DataFrame,
     points: DataFrame,
@@ -171,7 +134,7 @@ def overlap_by_running_sum(
     out: str = "overlap_us",
     slot_minutes: int = 10,
 ) -> DataFrame:
-    """The same sums for keys with any number of points.
+    """`left` plus the microseconds each interval shares with all intervals behind the points, shared time counting once for each.
 
     G(y) = sum of step * (y - x) over points x <= y is the time covered before y, so an interval shares
     G(end) - G(start). G is built at every distinct start, end and point by a running sum inside (key, time slot), plus
@@ -223,39 +186,14 @@ def overlap_micros(
     right_start: str,
     right_end: str,
     out: str = "overlap_us",
-    max_points: int = 256,
-    method: str = "auto",
 ) -> DataFrame:
     """`left` plus the time each interval shares with the right intervals of the same keys, 0 if none.
 
-    `auto` first counts the right end points per key in a small job over the right side. Keys within `max_points` use
-    arrays and one join; any key beyond it takes the running sum. `running_sum` uses the latter for all keys.
+    One lazy plan for any number of intervals per key; building it starts no job.
     """
-    if method not in ("auto", "running_sum"):
-        raise ValueError("method must be one of: 'auto', 'running_sum'")
-    keys = list(keys)
     points = end_points(right, keys, right_start, right_end)
-
-    def by_running_sum(some: DataFrame, points: DataFrame) -> DataFrame:
-        timed = some.withColumns({"_lo": micros(start), "_hi": micros(end)})
-        return overlap_by_running_sum(timed, points, keys, "_lo", "_hi", out=out).drop("_lo", "_hi")
-
-    if method == "running_sum":
-        return by_running_sum(left, points)
-    crowded = crowded_keys(right, points, keys, max_points)
-    if crowded is None:
-        return _overlap_by_arrays(left, points, keys, start, end, out)
-    few = _overlap_by_arrays(
-        left.join(crowded, keys, "left_anti"), points.join(crowded, keys, "left_anti"), keys, start, end, out
-    )
-    many = by_running_sum(left.join(crowded, keys, "left_semi"), points.join(crowded, keys, "left_semi"))
-    return few.unionByName(many)
-
-
-def _overlap_by_arrays(left, points, keys, start, end, out) -> DataFrame:
-    tagged = left.withColumns({"_lo": micros(start), "_hi": micros(end)})
-    joined = tagged.join(point_arrays(points, keys, "_points"), keys, "left")
-    return joined.withColumn(out, overlap_with_points("_points", "_lo", "_hi")).select(*left.columns, out)
+    timed = left.withColumns({"_lo": micros(start), "_hi": micros(end)})
+    return overlap_by_running_sum(timed, points, keys, "_lo", "_hi", out=out).drop("_lo", "_hi")
 
 
 def duration_by_day(df: DataFrame, keys: Sequence[str], start: str, end: str, out: str = "duration_us") -> DataFrame:

@@ -63,7 +63,7 @@ def scheduled_hours(roster: DataFrame, breaks: DataFrame) -> DataFrame:
     return joined.withColumn("_break_hours", F.coalesce("_break_hours", F.lit(0.0)))
 
 
-def leave_by_source(leave: DataFrame, partial_leave: DataFrame, breaks: DataFrame, max_points: int = 256) -> DataFrame:
+def leave_by_source(leave: DataFrame, partial_leave: DataFrame, breaks: DataFrame) -> DataFrame:
     """Net leave per agent, day, source (0 full, 1 partial) and type: exact microseconds and number of entries.
 
     Rostered breaks inside a leave do not count. Full and partial leave share one overlap join; equal entries are
@@ -84,7 +84,6 @@ def leave_by_source(leave: DataFrame, partial_leave: DataFrame, breaks: DataFram
         end="_to",
         right_start="break_start",
         right_end="break_end",
-        max_points=max_points,
     )
     net = floor_at_zero(micros_between("_from", "_to") - F.col("overlap_us"))
     return with_overlap.groupBy(*AGENT_DAY, "_source", "leave_type").agg(
@@ -94,10 +93,9 @@ def leave_by_source(leave: DataFrame, partial_leave: DataFrame, breaks: DataFram
 
 def absenteeism_by_type(
     roster: DataFrame, breaks: DataFrame, leave: DataFrame, partial_leave: DataFrame, personnel: DataFrame,
-    max_points: int = 256,
 ) -> DataFrame:
     """One row per rostered agent, day and leave type. Hours are rounded per source before they are added."""
-    by_source = leave_by_source(leave, partial_leave, breaks, max_points)
+    by_source = leave_by_source(leave, partial_leave, breaks)
     by_type = by_source.groupBy(*AGENT_DAY, "leave_type").agg(
         F.round(F.sum(hours_from_micros(F.col("_us"))), 4).alias("absenteeism_hours")
     )
@@ -124,10 +122,9 @@ def _types_text(entries: str) -> Column:
 
 def absenteeism_daily(
     roster: DataFrame, breaks: DataFrame, leave: DataFrame, partial_leave: DataFrame, personnel: DataFrame,
-    max_points: int = 256,
 ) -> DataFrame:
     """One row per roster: break, scheduled and absent hours, leave types (full before partial, then by name)."""
-    by_source = leave_by_source(leave, partial_leave, breaks, max_points)
+    by_source = leave_by_source(leave, partial_leave, breaks)
     # One entry per distinct type and source, so the list per agent and day is as short as the list of leave types.
     entry = F.when(
         F.col("leave_type").isNotNull(),
@@ -162,12 +159,11 @@ def productive_intervals(
     breaks: DataFrame,
     *,
     slot_minutes: int = 10,
-    max_points: int = 256,
 ) -> DataFrame:
     """Status intervals inside the roster window with their length and the part covered by rostered activities.
 
-    Roster window and break end points of an agent and day ride on the slot table of the log, so the log is never
-    shuffled by agent and day. Only agent-days with more than `max_points` break ends take the running sum instead.
+    Roster windows ride on the slot table of the log and the break end points are summed by slot, so the log is never
+    shuffled by agent and day.
     """
     events = log.where(F.col("payroll").isNotNull()).select("payroll", "tstamp", "newstatus")
     windows = roster_days(roster).select(
@@ -175,42 +171,21 @@ def productive_intervals(
     )
     activities = break_intervals(breaks, only_breaks=False)
     points = iv.end_points(activities, AGENT_DAY, "break_start", "break_end")
-    crowded = iv.crowded_keys(activities, points, AGENT_DAY, max_points)
-
-    def clipped(day_columns: DataFrame) -> DataFrame:
-        closed = iv.close_events(
-            events, ["payroll"], "tstamp", then_by=["newstatus"], slot_minutes=slot_minutes, day_columns=day_columns,
-            merge_copies=True,
-        )
-        return iv.clip(closed, iv.START_US, iv.END_US, "_opens", "_closes")
-
-    def measured(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *AGENT_DAY,
-            "newstatus",
-            from_micros("clipped_start").alias("clipped_start"),
-            from_micros("clipped_end").alias("clipped_end"),
-            (F.col("clipped_end") - F.col("clipped_start")).alias("interval_us"),
-            "overlap_us",
-        )
-
-    def by_arrays(windows: DataFrame, points: DataFrame) -> DataFrame:
-        days = windows.join(iv.point_arrays(points, AGENT_DAY), AGENT_DAY, "left")
-        return measured(
-            clipped(days).withColumn("overlap_us", iv.overlap_with_points("points", "clipped_start", "clipped_end"))
-        )
-
-    if crowded is None:
-        return by_arrays(windows, points)
-    few = by_arrays(windows.join(crowded, AGENT_DAY, "left_anti"), points.join(crowded, AGENT_DAY, "left_anti"))
-    many = iv.overlap_by_running_sum(
-        clipped(windows.join(crowded, AGENT_DAY, "left_semi")),
-        points.join(crowded, AGENT_DAY, "left_semi"),
-        AGENT_DAY,
-        "clipped_start",
-        "clipped_end",
+    closed = iv.close_events(
+        events, ["payroll"], "tstamp", then_by=["newstatus"], slot_minutes=slot_minutes, day_columns=windows, merge_copies=True
+    )
+    clipped = iv.clip(closed, iv.START_US, iv.END_US, "_opens", "_closes")
+    shared = iv.overlap_by_running_sum(
+        clipped, points, AGENT_DAY, "clipped_start", "clipped_end", slot_minutes=slot_minutes
+    )
+    return shared.select(
+        *AGENT_DAY,
+        "newstatus",
+        from_micros("clipped_start").alias("clipped_start"),
+        from_micros("clipped_end").alias("clipped_end"),
+        (F.col("clipped_end") - F.col("clipped_start")).alias("interval_us"),
+        "overlap_us",
     )
-    return few.unionByName(measured(many))
 
 
 def adherence_daily(
@@ -221,14 +196,13 @@ def adherence_daily(
     *,
     productive: Sequence[str] = PRODUCTIVE,
     slot_minutes: int = 10,
-    max_points: int = 256,
 ) -> DataFrame:
     """One row per roster: rostered, activity, adherent and non-adherent time, and the adherent share as a decimal.
 
     Two rosters on one agent-day each show the totals of the day. Shifts and statuses that cross midnight are lost, as
     intervals end with the day.
     """
-    detail = productive_intervals(log, roster, breaks, slot_minutes=slot_minutes, max_points=max_points)
+    detail = productive_intervals(log, roster, breaks, slot_minutes=slot_minutes)
     net = floor_at_zero(F.col("interval_us") - F.col("overlap_us"))
     good = F.coalesce(F.col("newstatus").isin(*productive), F.lit(False))
     daily = detail.groupBy(*AGENT_DAY).agg(

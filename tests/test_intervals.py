@@ -42,9 +42,8 @@ def test_overlap_sums_agree_with_pairs(spark, left, right):
     a, b = frame(spark, left, ("s", "e")), frame(spark, right, ("f", "t"))
     expected = Counter((k, at(s), at(s + n), 60_000_000 * shared((k, s, n), right)) for k, s, n in left)
     how = {"start": "s", "end": "e", "right_start": "f", "right_end": "t"}
-    for options in ({}, {"max_points": 3}, {"method": "running_sum"}):
-        got = iv.overlap_micros(a, b, ["k"], **how, **options).collect()
-        assert Counter(tuple(r) for r in got) == expected, options
+    got = iv.overlap_micros(a, b, ["k"], **how).collect()
+    assert Counter(tuple(r) for r in got) == expected
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -95,9 +94,8 @@ def test_touching_and_covering_breaks(spark):
 def test_no_pairs_in_the_plans(spark):
     a = frame(spark, [("a", 0, 1)], ("s", "e"))
     how = {"start": "s", "end": "e", "right_start": "s", "right_end": "e"}
-    for options in ({}, {"method": "running_sum"}):
-        plan = plan_of(iv.overlap_micros(a, a, ["k"], **how, **options))
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    plan = plan_of(iv.overlap_micros(a, a, ["k"], **how))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 # --- the workforce marts on hand-made rows ---
@@ -129,12 +127,11 @@ BREAKS = [
 ]
 
 
-@pytest.mark.parametrize("max_points", [256, 2])
-def test_adherence(spark, max_points):
+def test_adherence(spark):
     log = [("2026-04-21 07:00:00", "ABAL", "Waiting"), ("2026-04-21 09:30:00", "ABAL", "Connected"), ("2026-04-21 11:00:00", "ABAL", "(Logged Out)"),
            ("2026-04-21 11:15:00", "ABAL", "Waiting"), ("2026-04-21 18:00:00", "ABAL", "Waiting")]
     t = tables(spark, log, ROSTER, BREAKS, people=[("ABAL", "Smith", "Jo", "T", "BNA")])
-    row = workforce.adherence_daily(t["log"], t["roster"], t["breaks"], t["people"], max_points=max_points).first()
+    row = workforce.adherence_daily(t["log"], t["roster"], t["breaks"], t["people"]).first()
     # productive: 8:00-9:30, then 9:30-11:00 less 75 minutes, then 11:15-17:00 less 75; other: 15 minutes
     assert (row["adherent_seconds"], row["non_adherent_seconds"]) == ((90 + 15 + 270) * 60, 15 * 60)
     assert row["adherence_pct"] == round(375 / 390, 4)
@@ -159,19 +156,18 @@ def test_adherence_without_log_and_with_two_rosters(spark):
     ], key=repr)
 
 
-@pytest.mark.parametrize("max_points", [256, 1])
-def test_absenteeism(spark, max_points):
+def test_absenteeism(spark):
     leave = [("ABAL", "2026-04-21 09:00:00", "2026-04-21 12:00:00", "PTO - Vacation"), ("NOBODY", "2026-04-21 09:00:00", "2026-04-21 12:00:00", "PTO")]
     partial = [("ABAL", "2026-04-21 15:00:00", "2026-04-17 17:00:00", "Late Arrival"),  # ends before it starts
                ("ABAL", "2026-04-21 14:30:00", "2026-04-21 15:30:00", "Late Arrival"), ("ABAL", "2026-04-21 16:00:00", "2026-04-21 16:30:00", None)]
     t = tables(spark, (), ROSTER, BREAKS, leave, partial)
     args = (t["roster"], t["breaks"], t["leave"], t["partial"], t["people"])
-    row = workforce.absenteeism_daily(*args, max_points=max_points).first()
+    row = workforce.absenteeism_daily(*args).first()
     # vacation 3 h less two breaks of 15 minutes, late arrival 1 h less 15 minutes, half an hour without a type
     assert (row["break_lunch_hours"], row["scheduled_hours"], row["absenteeism_hours"]) == (1.5, 6.5, 3.75)
     assert row["absenteeism_pct"] == round(3.75 / 6.5, 4)
     assert row["leave_types"] == "PTO - Vacation | Late Arrival | Late Arrival"
-    by_type = rows(workforce.absenteeism_by_type(*args, max_points=max_points).select("payroll", "leave_type", "absenteeism_hours"))
+    by_type = rows(workforce.absenteeism_by_type(*args).select("payroll", "leave_type", "absenteeism_hours"))
     assert by_type == sorted([("ABAL", "PTO - Vacation", 2.5), ("ABAL", "Late Arrival", 0.75), ("ABAL", None, 0.5)], key=repr)
 
 
