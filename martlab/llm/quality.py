@@ -4,7 +4,8 @@ The model is trained on trusted text, the documents labelled good and not toxic.
 table), and each block lists its distinct n-grams with their counts in trusted text. Counts, continuation counts and context
 totals are tables joined on the n-gram, sharded by it; discounts come from counts of counts. The log probabilities of a block's n-grams come
 back to the block, where each document's perplexity is summed. A document is rejected when its perplexity exceeds its language's threshold:
-a high quantile of the language's trusted documents, times a margin.
+a high quantile of the language's trusted documents, times a margin. For the quantiles each trusted document is scored by a model without its fold
+(texts are dealt into `FOLDS` by their hash, so copies share one), as documents without a label are scored by a model that has not seen them.
 
 Every document is scored in full, and counts, quantiles and thresholds cover all rows.
 
@@ -31,6 +32,8 @@ from .shingles import buffers
 ORDER = 5
 QUANTILE = 0.98
 MARGIN = 1.1
+FOLDS = 8
+WHOLE = -1  # stands in `fold` for the model of all trusted text
 PIECE = 4 << 20
 
 
@@ -65,83 +68,140 @@ def pieces_of(table: pa.Table):
 
 
 def list_grams(docs: pa.Table, trusted: pa.Table) -> pa.Table:
-    """Distinct n-grams of a block and how often each stands in trusted text."""
+    """Distinct n-grams of a block and how often each stands in trusted text, in all of it and in each fold that holds it."""
     good = set(trusted.column("doc_id").to_pylist())
-    seen: list[pd.Series] = []
+    seen: dict[int, list[pd.Series]] = {}
     for part, texts in pieces_of(docs):
         packed, bounds = grams(texts)
         of = np.array([d in good for d in part.column("doc_id").to_pylist()], bool)
+        fold = np.repeat(np.where(of, part.column("fold").to_numpy(), WHOLE), np.diff(bounds))
         codes, values = pd.factorize(packed)
-        counts = np.bincount(codes, np.repeat(of, np.diff(bounds)), len(values))
-        seen.append(pd.Series(counts, values))
-    total = pd.concat(seen).groupby(level=0).sum() if seen else pd.Series(dtype=float)
+        seen.setdefault(WHOLE, []).append(pd.Series(np.bincount(codes, fold != WHOLE, len(values)), values))
+        for f in np.unique(fold[fold != WHOLE]):
+            counts = np.bincount(codes[fold == f], minlength=len(values))
+            seen.setdefault(int(f), []).append(pd.Series(counts[counts > 0], values[counts > 0]))
     block = docs.column("block")[0].as_py() if docs.num_rows else 0
-    return pa.table({"block": pa.array(np.full(len(total), block, np.int64)), "gram": pa.array(total.index.to_numpy(np.int64)),
-                     "n": pa.array(total.to_numpy().astype(np.int64))})
+    out = []
+    for f, parts in seen.items():
+        total = pd.concat(parts).groupby(level=0).sum()
+        out.append(pa.table({
+            "block": pa.array(np.full(len(total), block, np.int64)), "gram": pa.array(total.index.to_numpy(np.int64)),
+            "fold": pa.array(np.full(len(total), f, np.int64)), "n": pa.array(total.to_numpy().astype(np.int64))}))
+    return pa.concat_tables(out) if out else pa.table({c: pa.array([], pa.int64()) for c in ("block", "gram", "fold", "n")})
 
 
 def score(docs: pa.Table, logs: pa.Table) -> pa.Table:
-    """Sum of log probabilities of each document of a block."""
-    known = pd.Index(logs.column("gram").to_numpy())
-    value = logs.column("logp").to_numpy()
+    """Sum of log probabilities of each document of a block, and of each trusted one under the model without its fold."""
+    key = lambda gram, fold: gram | (fold + 1) << (8 * ORDER)
+    known = pd.Index(key(logs.column("gram").to_numpy(), logs.column("fold").to_numpy()))
+    value = np.append(logs.column("logp").to_numpy(), np.nan)
     out = []
     for part, texts in pieces_of(docs):
         packed, bounds = grams(texts)
-        total = np.concatenate([[0.0], np.cumsum(value[known.get_indexer(packed)])]) if len(packed) else np.zeros(1)
+        sums = []
+        for fold in (np.full(len(packed), WHOLE), np.repeat(part.column("fold").to_numpy(), np.diff(bounds))):
+            each = value[known.get_indexer(key(packed, fold))]
+            lacks = np.concatenate([[0], np.cumsum(np.isnan(each))])[bounds]
+            total = np.concatenate([[0.0], np.cumsum(np.nan_to_num(each))])[bounds]
+            sums.append(pa.array(total[1:] - total[:-1], mask=lacks[1:] > lacks[:-1]))
         out.append(pa.table({
             "doc_id": part.column("doc_id"), "lang": part.column("lang"),
-            "n_bytes": pa.array(np.diff(bounds)), "logp": pa.array(total[bounds[1:]] - total[bounds[:-1]])}))
+            "n_bytes": pa.array(np.diff(bounds)), "logp": sums[0], "unseen": sums[1]}))
     return pa.concat_tables(out) if out else pa.table({
         "doc_id": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "n_bytes": pa.array([], pa.int64()),
-        "logp": pa.array([], pa.float64())})
+        "logp": pa.array([], pa.float64()), "unseen": pa.array([], pa.float64())})
+
+
+def discounts(n: list[int]) -> list[float]:
+    """What is taken off counts of one, two, and three or more, from how many n-grams have counts of one to four."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    return [min(i, max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
 
 
 def probabilities(scratch: Scratch, listed: DataFrame) -> DataFrame:
-    """(gram, logp) of every n-gram in `listed` (gram, n), by joins on n-gram, context and shorter n-gram."""
+    """(gram, fold, logp) of every n-gram in `listed` (gram, fold, n), by joins on n-gram, context and shorter n-gram.
+
+    `WHOLE` rows get the model of all trusted text. Rows of a fold hold every n-gram of the fold's text, so they are all n-grams
+    whose counts change when the fold is left out: `held` has their counts with the fold (c) and without it (r).
+    """
     mask = lambda c, k: F.col(c).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-    counts = {ORDER: scratch.write(listed.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")))}
+    everywhere, of_folds = listed.where(F.col("fold") == WHOLE), listed.where(F.col("fold") != WHOLE)
+    counts = {ORDER: scratch.write(everywhere.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")))}
     for k in range(ORDER - 1, 0, -1):
         counts[k] = scratch.write(counts[k + 1].select(mask("gram", k).alias("gram")).groupBy("gram").agg(F.count("*").alias("c")))
-    need = {ORDER: scratch.write(listed.select("gram").distinct())}
+    held = {ORDER: scratch.write(of_folds.groupBy("gram", "fold").agg(F.sum("n").alias("lost")).join(counts[ORDER], "gram")
+                                 .select("gram", "fold", "c", (F.col("c") - F.col("lost")).alias("r")))}
+    for k in range(ORDER - 1, 0, -1):
+        held[k] = scratch.write(held[k + 1].groupBy(mask("gram", k).alias("gram"), "fold").agg(F.count_if(F.expr("r = 0")).alias("lost"))
+                                .join(counts[k], "gram").select("gram", "fold", "c", (F.col("c") - F.col("lost")).alias("r")))
+    need = {ORDER: scratch.write(everywhere.select("gram").distinct())}
     for k in range(ORDER - 1, 0, -1):
         need[k] = need[k + 1].select(mask("gram", k).alias("gram")).distinct()
-    lower = None
+    lower = less = None
     for k in range(1, ORDER + 1):
-        n = [counts[k].where(F.col("c") == i).count() for i in range(1, 5)]
-        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
-        cut = [min(i, max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
+        n = list(counts[k].agg(*[F.count_if(F.col("c") == i) for i in range(1, 5)]).first())
+        change = {r[0]: r[1:] for r in held[k].groupBy("fold").agg(
+            *[F.count_if(F.col("r") == i) - F.count_if(F.col("c") == i) for i in range(1, 5)]).collect()}
+        cut = discounts(n)
+        cuts = [discounts([a + b for a, b in zip(n, change.get(f, (0,) * 4))]) for f in range(FOLDS)]
+        by_fold = [F.element_at(F.array(*[F.lit(float(x[i])) for x in cuts]), (F.col("fold") + 1).cast("int")) for i in range(3)]
         discount = F.when(F.col("c") == 1, cut[0]).when(F.col("c") == 2, cut[1]).otherwise(cut[2])
-        contexts = (counts[k].withColumn("d", discount).groupBy(F.shiftright("gram", 8).alias("context"))
-                    .agg(F.sum("c").alias("total"), F.sum("d").alias("left")))
+        sizes = lambda c: [F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2), F.count_if(F.col(c) >= 3)]
+        contexts = counts[k].groupBy(F.shiftright("gram", 8).alias("context")).agg(
+            F.sum("c").alias("total"), *[x.alias(f"n{i}") for i, x in enumerate(sizes("c"))])
+        contexts = scratch.write(contexts)
+        left = sum((F.col(f"n{i}") * F.lit(float(cut[i])) for i in range(3)), F.lit(0.0))
         rows = (need[k].join(counts[k].withColumn("kept", F.col("c") - discount).select("gram", "kept"), "gram", "left")
                 .withColumn("context", F.shiftright("gram", 8)))
+        # the same without a fold
+        changed = held[k].groupBy(F.shiftright("gram", 8).alias("context"), "fold").agg(
+            F.sum(F.col("c") - F.col("r")).alias("dt"), *[(x - y).alias(f"d{i}") for i, (x, y) in enumerate(zip(sizes("c"), sizes("r")))])
+        without = changed.join(contexts, "context").select(
+            "context", "fold", (F.col("total") - F.col("dt")).alias("total"),
+            sum(((F.col(f"n{i}") - F.col(f"d{i}")) * by_fold[i] for i in range(3)), F.lit(0.0)).alias("left"))
+        kept = F.col("r") - F.when(F.col("r") == 0, 0.0).when(F.col("r") == 1, by_fold[0]).when(F.col("r") == 2, by_fold[1]).otherwise(by_fold[2])
+        others = held[k].select("gram", "fold", kept.alias("kept"), F.shiftright("gram", 8).alias("context")).join(without, ["context", "fold"])
         if k == 1:
-            whole = contexts.first()
-            total, left = (whole["total"], whole["left"]) if whole else (1, 1.0)
-            p = (F.coalesce("kept", F.lit(0.0)) + F.lit(float(left) / 256)) / F.lit(float(total))
-            lower = scratch.write(rows.select("gram", p.alias("p")))
+            whole = contexts.select("total", left.alias("left")).first()
+            total, rest = (whole["total"], whole["left"]) if whole else (1, 1.0)
+            p = (F.coalesce("kept", F.lit(0.0)) + F.lit(float(rest) / 256)) / F.lit(float(total))
+            others = others.withColumn("q", F.lit(1 / 256))
         else:
             shorter = lower.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
-            rows = rows.withColumn("suffix", mask("gram", k - 1)).join(contexts, "context", "left").join(shorter, "suffix")
+            rows = (rows.withColumn("suffix", mask("gram", k - 1))
+                    .join(contexts.select("context", "total", left.alias("left")), "context", "left").join(shorter, "suffix"))
             p = F.when(F.col("total").isNull(), F.col("q")).otherwise(
                 (F.coalesce("kept", F.lit(0.0)) + F.col("left") * F.col("q")) / F.col("total"))
-            lower = scratch.write(rows.select("gram", p.alias("p")))
-    return lower.select("gram", F.log("p").alias("logp"))
+            others = others.withColumn("suffix", mask("gram", k - 1)).join(
+                less.select(F.col("gram").alias("suffix"), "fold", F.col("p").alias("q")), ["suffix", "fold"])
+        done = [contexts, counts[k], held[k]] + [x for x in (lower, less) if x is not None]
+        lower = scratch.write(rows.select("gram", p.alias("p")))
+        less = scratch.write(others.select("gram", "fold", F.when(F.col("total") == 0, F.col("q")).otherwise(
+            (F.col("kept") + F.col("left") * F.col("q")) / F.col("total")).alias("p")))
+        scratch.drop(*done)
+    return lower.withColumn("fold", F.lit(WHOLE).cast("long")).unionByName(less).select("gram", "fold", F.log("p").alias("logp"))
 
 
 def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity) of every row of `docs`, the model being trained on the ids in `trusted`."""
+    """(doc_id, lang, n_bytes, perplexity, unseen) of every row of `docs`, the model being trained on the ids in `trusted`.
+
+    `unseen` is the perplexity of a trusted row under the model without the row's fold.
+    """
     scratch = Scratch(spark, "perplexity")
-    blocks = Blocks(spark, docs, F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    fold = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(FOLDS)).cast("long").alias("fold")
+    blocks = Blocks(spark, docs, F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), fold)
     parts = blocks.read().groupBy("block")
     mine = trusted.select(blocks.of("doc_id"), "doc_id").groupBy("block")
-    listed = scratch.write(parts.cogroup(mine).applyInArrow(list_grams, "block long, gram long, n long"))
-    logs = listed.select("block", "gram").join(probabilities(scratch, listed), "gram").select("block", "gram", "logp")
+    listed = scratch.write(parts.cogroup(mine).applyInArrow(list_grams, "block long, gram long, fold long, n long"))
+    logs = listed.select("block", "gram", "fold").join(probabilities(scratch, listed), ["gram", "fold"]).select(
+        "block", "gram", "fold", "logp")
     scores = scratch.write(parts.cogroup(logs.groupBy("block")).applyInArrow(
-        score, "doc_id long, lang string, n_bytes long, logp double"))
+        score, "doc_id long, lang string, n_bytes long, logp double, unseen double"))
     blocks.close()
-    return scores.select("doc_id", "lang", "n_bytes",
-                         F.when(F.col("n_bytes") > 0, F.exp(-F.col("logp") / F.col("n_bytes"))).alias("perplexity"))
+    perplexity = lambda c: F.when(F.col("n_bytes") > 0, F.exp(-F.col(c) / F.col("n_bytes")))
+    return (scores.join(trusted.select("doc_id", F.lit(True).alias("known")), "doc_id", "left")
+            .select("doc_id", "lang", "n_bytes", perplexity("logp").alias("perplexity"),
+                    F.when(F.col("known"), perplexity("unseen")).alias("unseen")))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -155,8 +215,8 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile: flo
     """(doc_id, lang, n_bytes, perplexity, threshold, keep) for every row of `docs`."""
     trusted = Scratch(spark, "trusted").write(trusted_ids(labels))
     scores = perplexities(spark, docs, trusted)
-    good = scores.join(trusted, "doc_id", "left_semi").where("perplexity IS NOT NULL")
-    level = F.percentile_approx("perplexity", quantile, 10000)
+    good = scores.where("unseen IS NOT NULL")
+    level = F.percentile_approx("unseen", quantile, 10000)
     by_lang = good.where("lang IS NOT NULL").groupBy("lang").agg((level * margin).alias("own"))
     overall = (good.agg(level.alias("q")).first()["q"] or math.inf) * margin
     return (scores.join(by_lang, "lang", "left")

@@ -389,6 +389,28 @@ def test_quality_decisions(spark):
     assert quality.judge(spark, docs.limit(0), labels).count() == 0
 
 
+def test_thresholds_are_out_of_sample(spark, real):
+    rows = [(r.doc_id, r.text[:400]) for r in real.limit(24).collect()]
+    docs, trusted = frame(spark, rows), spark.createDataFrame([(i,) for i, _ in rows[:20]], "doc_id long")
+    folds = [r.fold for r in docs.select(F.expr(f"pmod(xxhash64(text), {quality.FOLDS})").alias("fold")).collect()]
+    got = {r.doc_id: r.unseen for r in quality.perplexities(spark, docs, trusted).collect()}
+    for fold in set(folds[:20]):
+        mine = [i for i in range(20) if folds[i] == fold]
+        want = kneser_ney([t for i, (_, t) in enumerate(rows[:20]) if folds[i] != fold], [rows[i][1] for i in mine])
+        assert [got[rows[i][0]] for i in mine] == pytest.approx(want)
+    assert all(got[d] is None for d, _ in rows[20:])
+
+
+def test_clean_documents_kept_out_of_training_stay(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    clean = quality.trusted_ids(labels)
+    out = clean.where("pmod(xxhash64(doc_id, 5), 5) = 0")
+    judged = quality.judge(spark, docs, labels.join(out, "doc_id", "left_anti"))
+    rejected = judged.join(out, "doc_id").agg(F.avg(F.expr("int(NOT keep)"))).first()[0]
+    bad = judged.join(labels.where("quality = 0"), "doc_id").agg(F.avg(F.expr("int(NOT keep)"))).first()[0]
+    assert rejected < 0.08 and bad > 0.7
+
+
 # top k
 
 def test_top_k(spark):
