@@ -153,7 +153,10 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
 
 
 def classify(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, links): every document with the least doc_id of its class and its links to different texts."""
+    """(doc_id, class_id, links): every document with the least doc_id of its class.
+
+    `links` counts only the links that built the components, not all similar texts; it depends on the order of hashes.
+    """
     rows, classes, links = near_classes(spark, docs)
     scratch = Scratch(spark, "classes")
     labelled = scratch.write(rows.join(classes, "same", "left").select("doc_id", "same", F.coalesce("label", "same").alias("label")))
@@ -172,4 +175,4 @@ def keep_one_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def op7_probminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near duplicates of every document."""
-    return classify(spark, spark.read.parquet(f"{folder}/documents.parquet"))
+    return classify(spark, spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "class_id")

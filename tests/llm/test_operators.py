@@ -276,6 +276,10 @@ def test_near_classes(spark):
     assert near_dedup.classify(spark, frame(spark, [])).count() == 0
 
 
+def test_near_dedup_returns_class_ids_only(spark):
+    assert near_dedup.op7_probminhash_near_dedup(spark, FOLDER).columns == ["doc_id", "class_id"]
+
+
 def test_links_reach_across_a_bucket(spark):
     # 1 and 2 share a bucket with 0 but are like each other only; 3-4 chain through another bucket
     bands = spark.createDataFrame([(1, 0), (1, 1), (1, 2), (2, 2), (2, 3), (3, 3), (3, 4), (4, 9)], "bucket long, id long")
