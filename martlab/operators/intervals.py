@@ -1,9 +1,10 @@
 """Status logs to intervals, clipping, and overlap sums.
 
-No step gathers all rows of a key into one task. A log is split by key, day *and* time slot, so even one agent that
-writes a third of the log is spread over many tasks; only one row per slot is ordered along the whole key. Overlap
-sums never form interval pairs: the other side is reduced to signed end points, which are either a short array per key
-(size checked) or a running sum over time slots.
+No step gathers all rows of a key into one task. Rows are split by key, day *and* time slot, so even one agent that
+writes a third of the log is spread over many tasks; only one row per slot is ordered along the whole key, and what it
+carries from the earlier or later slots is joined back to the slot's rows. Rows and slot totals come from one shuffle: both
+sides of that join keep all columns up to it, so Spark plans the exchange once and reuses it. Overlap sums never
+form interval pairs: the other side is reduced to signed end points and a running sum over them.
 """
 
 from __future__ import annotations
@@ -42,47 +43,59 @@ def close_events(
     """
     keys = list(keys)
     others = [c for c in log.columns if c != ts]
-
-    def slotted(df: DataFrame) -> DataFrame:
-        slot = F.floor(F.col(START_US) / F.lit(slot_minutes * 60_000_000))
-        return df.withColumns({DAY: day_of_micros(START_US), "_slot": slot})
+    at = ["_key", DAY, "_slot"]
 
     # Times travel as numbers: they are converted once per row, and sort and compare cheaply.
     timed = log.where(F.col(ts).isNotNull()).select(*others, micros(ts).alias(START_US))
+    if day_columns is not None:
+        timed = timed.dropna(subset=keys)
     once = timed.distinct() if merge_copies else timed.groupBy(*timed.columns).agg(F.count("*").alias("_copies"))
+    # Events without a key form a group of their own: as part of a struct their NULL keys meet in the join.
+    rows = once.withColumns({
+        "_key": F.struct(*keys), DAY: day_of_micros(START_US),
+        "_slot": F.floor(F.col(START_US) / F.lit(slot_minutes * 60_000_000)),
+    }).where(F.col(DAY).isNotNull() & F.col("_slot").isNotNull()).repartition(*at)
     order = [START_US, *then_by, *[c for c in others if c not in then_by]]
-    slots = slotted(timed.select(*keys, START_US)).groupBy(*keys, DAY, "_slot").agg(F.min(START_US).alias("_first"))
-    along = Window.partitionBy(*keys, DAY).orderBy("_slot")
+    slots = _of_slots(rows, at, F.min(START_US).alias("_first"))
+    along = Window.partitionBy("_key", DAY).orderBy("_slot")
     slots = slots.withColumn("_later", F.lead("_first").over(along)).drop("_first")
-    rows = slotted(once)
     if day_columns is not None:
-        at, slots = [*keys, DAY, "_slot"], slots.join(day_columns, [*keys, DAY])
-    else:
-        # Events without a key form a group of their own. As part of a struct their NULL keys meet in the join, and
-        # the window leaves the rows where that join wants them.
-        at, rows = ["_key", DAY, "_slot"], rows.withColumn("_key", F.struct(*keys))
-        slots = slots.select(F.struct(*keys).alias("_key"), DAY, "_slot", "_later")
+        days = day_columns.withColumn("_key", F.struct(*keys)).drop(*keys)
+        slots = slots.join(days, ["_key", DAY])
     rows = rows.withColumn("_next", F.lead(START_US).over(Window.partitionBy(*at).orderBy(*order)))
-    joined = rows.join(slots, at)
-    closed = joined.withColumn(END_US, F.coalesce("_next", "_later"))
+    closed = rows.join(slots, at).withColumn(END_US, F.coalesce("_next", "_later"))
     if not merge_copies:
-        closed = _put_back_copies(closed)
+        closed = put_back(_split_copies(closed), "_n").drop("_copies")
     closed = closed.where(F.col(END_US).isNotNull()).drop("_key", "_slot", "_next", "_later")
     return closed.withColumns({START: from_micros(START_US), END: from_micros(END_US)})
 
 
-def _put_back_copies(rows: DataFrame, block: int = 1000) -> DataFrame:
-    """Every row once as it is, and `_copies` - 1 times with zero length. Arrays stay within `block` entries."""
+def _of_slots(rows: DataFrame, at: Sequence[str], *totals: Column) -> DataFrame:
+    """Totals of each slot of `rows`, which are already partitioned by `at`.
+
+    The hash of all columns is never NULL, so the condition on it drops nothing. It keeps columns that the totals do not
+    need from being pruned below the exchange, which could not be shared with the rows themselves otherwise. For the
+    same reason callers state that `at` is not NULL before they partition, as the later join would for one side only.
+    """
+    whole = F.max(F.xxhash64(*rows.columns)).alias("_whole")
+    return rows.groupBy(*at).agg(*totals, whole).where(F.col("_whole").isNotNull()).drop("_whole")
+
+
+def _split_copies(rows: DataFrame) -> DataFrame:
+    """Every row once as it is, and once more for its `_copies` - 1 repeats, which have zero length; `_n` tells how many."""
     kinds = F.array(
         F.struct(F.col(END_US).alias("end"), F.lit(1).cast("long").alias("n")),
         F.struct(F.col(START_US).alias("end"), (F.col("_copies") - 1).alias("n")),
     )
     few = rows.withColumn("_kind", F.explode(F.filter(kinds, lambda k: k["n"] > 0)))
-    few = few.withColumns({END_US: F.col("_kind.end"), "_n": F.col("_kind.n")})
-    blocks = few.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block))))
-    size = F.least(F.lit(block).cast("long"), F.col("_n") - F.col("_block") * block)
-    repeated = blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size)))
-    return repeated.drop("_copies", "_kind", "_n", "_block", "_i")
+    return few.withColumns({END_US: F.col("_kind.end"), "_n": F.col("_kind.n")}).drop("_kind")
+
+
+def put_back(rows: DataFrame, count: str, block: int = 1000) -> DataFrame:
+    """Every row as often as `count` says, without that column. Arrays stay within `block` entries."""
+    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / block))))
+    size = F.least(F.lit(block).cast("long"), F.col(count) - F.col("_block") * block)
+    return blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop(count, "_block", "_i")
 
 
 def clip_to_window(
@@ -137,43 +150,46 @@ def overlap_by_running_sum(
     """`left` plus the microseconds each interval shares with all intervals behind the points, shared time counting once for each.
 
     G(y) = sum of step * (y - x) over points x <= y is the time covered before y, so an interval shares
-    G(end) - G(start). G is built at every distinct start, end and point by a running sum inside (key, time slot), plus
-    the totals of the earlier slots of the key.
+    G(end) - G(start). Each interval sends two marks that carry its row. A running sum inside (key, time slot) gives what
+    the slot adds up to the mark; one row for each slot carries the time covered before the slot, and the intervals still open
+    there. The two marks of a row meet again by the row itself, equal rows together, and `left` is read once.
+
+    A NULL key meets nothing. `left` must not have map columns.
     """
-    keys = list(keys)
-    tagged = left.withColumns({"_a": F.col(start_us), "_b": F.col(end_us)})
-    asked = tagged.where(F.col("_b") > F.col("_a")).select(
-        *keys, F.explode(F.array("_a", "_b")).alias("x"), F.lit(0).cast("long").alias("step")
-    )
-    marks = points.select(*keys, "x", "step").unionByName(asked)
-    marks = marks.groupBy(*keys, "x").agg(F.sum("step").alias("step"))
-    # step * x passes the range of a long for very many points
-    weight = F.col("step").cast("decimal(19,0)") * F.col("x").cast("decimal(19,0)")
-    marks = marks.withColumns(
-        {"_slot": F.floor(F.col("x") / F.lit(slot_minutes * 60_000_000)), "_w": weight.cast("decimal(38,0)")}
-    )
-    inside = Window.partitionBy(*keys, "_slot").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = marks.withColumns({"_n": F.sum("step").over(inside), "_s": F.sum("_w").over(inside)})
-
-    totals = marks.groupBy(*keys, "_slot").agg(F.sum("step").alias("_tn"), F.sum("_w").alias("_ts"))
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,0)")
-    totals = totals.select(
-        *keys,
-        "_slot",
-        F.coalesce(F.sum("_tn").over(before), F.lit(0).cast("long")).alias("_n0"),
-        F.coalesce(F.sum("_ts").over(before), zero).alias("_s0"),
-    )
-    count = (F.col("_n") + F.col("_n0")).cast("decimal(19,0)")
-    covered = (count * F.col("x").cast("decimal(19,0)")).cast("decimal(38,0)") - F.col("_s") - F.col("_s0")
-    g = running.join(totals, [*keys, "_slot"]).select(*keys, "x", covered.cast("decimal(38,0)").alias("_g"))
-
-    at_start = g.withColumnsRenamed({"x": "_a", "_g": "_ga"})
-    at_end = g.withColumnsRenamed({"x": "_b", "_g": "_gb"})
-    looked_up = tagged.join(at_start, [*keys, "_a"], "left").join(at_end, [*keys, "_b"], "left")
-    shared = F.when(F.col("_b") > F.col("_a"), (F.col("_gb") - F.col("_ga")).cast("long"))
-    result = looked_up.withColumn(out, F.coalesce(shared, F.lit(0).cast("long")))
-    return result.select(*left.columns, out)
+    keys, us = list(keys), slot_minutes * 60_000_000
+    a, b, one = F.col(start_us), F.col(end_us), F.lit(1)
+    mark = lambda x, sign: F.struct(x.cast("long").alias("x"), F.lit(sign).alias("sign"))
+    # an interval without length shares nothing, but its row must come through
+    both = F.when(b > a, F.array(mark(a, -1), mark(b, 1))).otherwise(F.array(mark(F.coalesce(a, b, F.lit(0)), 0)))
+    asked = left.select(F.struct(*keys).alias("_key"), F.explode(both).alias("_m"), F.struct(*left.columns).alias("_row"))
+    asked = asked.select("_key", "_m.x", F.lit(0).cast("long").alias("step"), "_m.sign", "_row")
+    given = points.dropna(subset=keys).select(
+        F.struct(*keys).alias("_key"), F.col("x").cast("long").alias("x"), F.col("step").cast("long").alias("step"),
+        F.lit(0).alias("sign"), F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"))
+    at = ["_key", "_slot"]
+    slot = F.floor(F.col("x") / F.lit(us))
+    marks = given.union(asked).withColumn("_slot", slot).withColumn("_y", F.col("x") - F.col("_slot") * us)
+    marks = marks.where(F.col("_slot").isNotNull()).repartition(*at)
+
+    # inside a slot: step and step * (distance from the slot's start), both far from the range of a long
+    weight = F.col("step") * F.col("_y")
+    totals = _of_slots(marks, at, F.sum("step").alias("_n"), F.sum(weight).alias("_w"))
+    before = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    wide = lambda c: c.cast("decimal(38,0)")
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    open_ = earlier(F.col("_n"))
+    covered = wide(wide(F.col("_slot") * open_ - earlier(F.col("_n") * F.col("_slot"))) * F.lit(us)) - wide(earlier(wide(F.col("_w"))))
+    carry = totals.select(*at, open_.cast("long").alias("_open"), wide(covered).alias("_covered"))
+
+    inside = Window.partitionBy(*at).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = F.sum("step").over(inside) * F.col("_y") - F.sum(weight).over(inside)
+    g = marks.withColumn("_local", local).where(F.col("_row").isNotNull()).join(carry, at)
+    g = g.select("_row", "sign", wide(F.col("_covered") + F.col("_local") + F.col("_open") * F.col("_y")).alias("_g"))
+    met = g.groupBy("_row").agg(
+        F.max(F.when(F.col("sign") == 1, F.col("_g"))).alias("_b"), F.max(F.when(F.col("sign") == -1, F.col("_g"))).alias("_a"),
+        F.count(F.when(F.col("sign") <= 0, one)).alias("_n"))
+    shared = F.coalesce((F.col("_b") - F.col("_a")).cast("long"), F.lit(0).cast("long"))
+    return put_back(met.select("_row", shared.alias("_shared"), "_n"), "_n").select("_row.*", F.col("_shared").alias(out))
 
 
 def overlap_micros(

@@ -174,7 +174,9 @@ def productive_intervals(
     closed = iv.close_events(
         events, ["payroll"], "tstamp", then_by=["newstatus"], slot_minutes=slot_minutes, day_columns=windows, merge_copies=True
     )
-    clipped = iv.clip(closed, iv.START_US, iv.END_US, "_opens", "_closes")
+    clipped = iv.clip(closed, iv.START_US, iv.END_US, "_opens", "_closes").select(
+        *AGENT_DAY, "newstatus", "clipped_start", "clipped_end"
+    )
     shared = iv.overlap_by_running_sum(
         clipped, points, AGENT_DAY, "clipped_start", "clipped_end", slot_minutes=slot_minutes
     )

@@ -175,3 +175,32 @@ def test_breaks_of_another_day_do_not_count(spark):
     t = tables(spark, (), [(89183, "ABAL", "08:00:00", "17:00:00", 8, "2026-04-16")], BREAKS)
     row = workforce.absenteeism_daily(t["roster"], t["breaks"], t["leave"], t["partial"], t["people"]).first()
     assert (row["scheduled_hours"], row["absenteeism_hours"], row["leave_types"], row["absenteeism_pct"]) == (8.0, 0.0, "", 0.0)
+
+
+def _final_plan(df):
+    df.collect()
+    return plan_of(df).split("== Initial Plan ==")[0]
+
+
+def test_log_is_read_and_dealt_once(spark):
+    from checks.queries import QUERIES
+
+    plan = _final_plan(QUERIES["event_intervals"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+
+
+def test_left_side_of_an_overlap_sum_is_read_once(spark):
+    from checks.queries import QUERIES
+
+    # one scan for each side, and four shuffles beside the two that make the breaks and sum their end points
+    plan = _final_plan(QUERIES["overlap_seconds"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 1
+    assert plan.count(" Exchange hashpartitioning") <= 6
+
+
+def test_overlap_with_missing_times_and_keys(spark):
+    a = spark.createDataFrame([("a", None, at(5)), ("a", at(5), None), (None, at(0), at(60)), ("a", at(9), at(3)), ("a", at(0), at(60))] * 2,
+                              "k string, s timestamp_ntz, e timestamp_ntz")
+    b = frame(spark, [("a", 10, 5), (None, 0, 60)], ("f", "t"))
+    got = iv.overlap_micros(a, b, ["k"], start="s", end="e", right_start="f", right_end="t").collect()
+    assert Counter(tuple(r) for r in got) == Counter((tuple(r) + (300_000_000 if i == 4 else 0,)) for i, r in enumerate(a.limit(5).collect()) for _ in range(2))
