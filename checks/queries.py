@@ -18,6 +18,7 @@ from martlab.operators import intervals as iv
 from martlab.operators import membership as mb
 from martlab.operators import quality as q
 from martlab.operators import record_filters as rf
+from martlab.operators import snapshots as sn
 from martlab.operators.filter_tree import filter_tree
 from martlab.plans import dashboard, loans, risk, workforce
 from martlab.session import shared_folder, tune
@@ -25,7 +26,7 @@ from martlab.sources.files import read_seed
 from martlab.sources.tables import export_files, read_table, write_table
 from martlab.sources.workbook import workbook_rows
 
-from .shapes import AS_OF, CHECK_DATE, PRODUCTIVE, Tables
+from .shapes import AS_OF, CHECK_DATE, EARLIER, PRODUCTIVE, Tables
 from .workbooks import workbook_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +54,7 @@ def _stress_input(t: Tables) -> DataFrame:
 
 
 def _discovery(t: Tables) -> DataFrame:
-    return loans.filter_discovery(loans.stage_core_loans(t.core_loans()), t.march_set(), t.december_set(), [AS_OF])
+    return loans.filter_discovery(loans.stage_core_loans(t.core_loans()), t.march_set(), t.december_set(), [AS_OF, EARLIER])
 
 
 @query
@@ -103,7 +104,7 @@ def match_rate_by(t):
 
 @query
 def filter_discovery(t):
-    return _discovery(t).select("loan_id", "in_march_input", "in_dec_input", "in_either_input", "in_both_inputs", "input_membership")
+    return _discovery(t).select("loan_id", "as_of_date", "in_march_input", "in_dec_input", "in_either_input", "in_both_inputs", "input_membership")
 
 
 @query
@@ -111,6 +112,50 @@ def filter_pattern_analysis(t):
     return loans.filter_pattern_analysis(_discovery(t), loans.stage_core_loans(t.core_loans()), t.december_set(), AS_OF)
 
 
+@query
+def loans_as_of(t):
+    """Each loan as it was known at three report dates between and after the snapshots."""
+    found = sn.snapshots_at(loans.stage_core_loans(t.core_loans()), ["loan_id"], "as_of_date", ["2000-10-15", "2000-11-15", "2001-01-15"])
+    return found.select("period", "loan_id", "as_of_date", "loan_status", "outstanding_balance")
+
+
+@query
+def period_diff(t):
+    core = loans.stage_core_loans(t.core_loans()).select(
+        "loan_id", "as_of_date", "loan_status", F.format_string("%.2f", "outstanding_balance").alias("outstanding_balance"))
+    return sn.period_diff(core, ["loan_id"], "as_of_date", [EARLIER, AS_OF], ["loan_status", "outstanding_balance"])
+
+
+@query
+def match_rates_over_time(t):
+    staged = loans.stage_collaterals(t.core_collaterals(), t.xref())
+    return loans.match_rates_over_time(loans.stage_core_loans(t.core_loans()), staged, [EARLIER, AS_OF], ["branch_code"])
+
+
+@query
+def check_collateral_match(t):
+    return q.check_rate(_stress_input(t), "has_collateral_match")
+
+
+@query
+def mart_parity(t):
+    """The mart itself against the hand-made set."""
+    mart = _stress_input(t).select("loan_id", "loan_number").distinct()
+    return mb.key_parity(mart, t.december_set(), "loan_id", ["loan_id", "loan_number"], ours_name="dbt", theirs_name="manual")
+
+
+@query
+def other_segments(t):
+    """The alternative segment filters, by occupancy code and by owner flag; the types are those of the given tables."""
+    core, phases = loans.stage_core_loans(t.core_loans()), loans.stage_ncino_loans(t.ncino_loans())
+    types = {"col": "loan_type_code", "op": "in", "value": ["1-URGENT", "2-HIGH"]}
+    parts = []
+    for name in ("occupancy", "owner_flag"):
+        tree = {"and": [loans.SEGMENTS[name]["and"][0], types]}
+        parts.append(loans.segment_loans(core, phases, AS_OF, segment=tree).select(F.lit(name).alias("segment"), "loan_id", "loan_phase"))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def sample_mart(t):
     core = t.core_loans().select("loan_id", F.col("product_type").alias("loan_type"), "outstanding_balance")

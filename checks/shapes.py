@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2000-12-31"
+# The loan and collateral tables hold these snapshots; one of them no query asks for.
+EARLIER, UNWANTED = "2000-09-30", "2000-10-31"
 CHECK_DATE = "2024-01-30"
 PRODUCTIVE = ("click", "view", "purchase")
 SCHEMAS: dict = {}
@@ -26,8 +28,11 @@ class Tables:
     # --- loans ---
 
     def core_loans(self) -> DataFrame:
-        o, key = self.given("orders"), F.col("o_orderkey")
+        """Every order at one date or several: some come late, some are gone at the last date, and values move."""
+        key, kind = F.col("o_orderkey"), F.col("at.kind")
         opened = F.to_date("o_orderdate")
+        o = _at_dates(self.given("orders"), {
+            AS_OF: key % 23 != 5, EARLIER: (key % 4 == 0) | (key % 23 == 5), UNWANTED: key % 6 == 0})
         return o.select(
             key.alias("loan_id"),
             F.concat(F.lit("LN-"), key).alias("loan_number"),
@@ -37,10 +42,10 @@ class Tables:
             F.when(key % 3 == 0, "NOO").when(key % 3 == 1, "OO").alias("occupancy_type_code"),
             (key % 3 == 1).alias("owner_occupied_flag"),
             _product(key).alias("product_type"),
-            F.when(key % 13 == 0, "PAID_OFF").when(key % 13 != 1, "ACTIVE").alias("loan_status"),
+            F.when((key % 13 == 0) & ((kind == 0) | (key % 8 == 0)), "PAID_OFF").when(key % 13 != 1, "ACTIVE").alias("loan_status"),
             F.concat(F.lit("P"), key % 4).alias("purpose_code"),
             (F.col("o_totalprice") * 1.25).alias("committed_balance"),
-            F.col("o_totalprice").alias("outstanding_balance"),
+            (F.col("o_totalprice") + kind * (key % 3) * 10).alias("outstanding_balance"),
             (F.col("o_totalprice") * 0.25).alias("unfunded_balance"),
             opened.alias("origination_date"),
             F.when(key % 17 != 0, F.date_add(opened, (30 * (12 + key % 85)).cast("int"))).alias("maturity_date"),
@@ -54,15 +59,16 @@ class Tables:
             (key % 8).cast("double").alias("spread"),
             F.concat(F.lit("BR-"), key % 10).alias("branch_code"),
             F.concat(F.lit("LO-"), F.col("o_custkey") % 100).alias("loan_officer_id"),
-            F.lit(AS_OF).cast("date").alias("as_of_date"),
+            F.col("at.day").alias("as_of_date"),
         )
 
     def ncino_loans(self) -> DataFrame:
+        """A phase for every order; some have no loan number, and some share the number of the order before."""
         key = F.col("o_orderkey")
         opened = F.to_date("o_orderdate")
-        return self.given("orders").where(key % 5 == 0).select(
+        return self.given("orders").select(
             F.concat(F.lit("NC-"), key).alias("id"),
-            F.concat(F.lit("LN-"), key).alias("ll__loan_number__c"),
+            F.when(key % 50 != 3, F.concat(F.lit("LN-"), key - F.when(key % 10 == 9, 1).otherwise(0))).alias("ll__loan_number__c"),
             F.col("o_custkey").cast("string").alias("ll__cif__c"),
             F.col("o_orderpriority").alias("ll__loan_type__c"),
             F.lit("OFFICE").alias("ll__property_type__c"),
@@ -92,7 +98,7 @@ class Tables:
         )
 
     def core_collaterals(self) -> DataFrame:
-        """Lines share (order, line number) pairs, so they are grouped to one collateral each."""
+        """Lines share (order, line number) pairs, so they are grouped to one collateral each; every third line also has older snapshots."""
         grouped = self.given("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
             F.max("l_extendedprice").alias("top"),
             F.min("l_extendedprice").alias("low"),
@@ -100,19 +106,20 @@ class Tables:
             F.min("l_partkey").alias("n"),
         )
         n, line, order = F.col("n"), F.col("l_linenumber"), F.col("l_orderkey")
-        return grouped.select(
+        at_dates = _at_dates(grouped, {AS_OF: (line != 3) | (order % 7 != 0), EARLIER: line % 3 == 0, UNWANTED: line % 3 == 0})
+        return at_dates.select(
             (order * 10 + line).alias("collateral_id"),
             F.when(line % 5 == 0, "EQUIP").otherwise("RE").alias("collateral_type_code"),
             F.concat(F.lit("Part "), n).alias("collateral_description"),
             F.when((line == 6) & (order % 4 == 0), "true").when(line == 1, "N").alias("primary_flag"),
-            F.col("top").alias("appraised_value"),
+            (F.col("top") + F.col("at.kind") * 1000).alias("appraised_value"),
             F.when(line != 4, F.to_date("shipped")).alias("appraisal_date"),
             F.col("low").alias("book_value"),
             _address(n).alias("street_address"),
             F.concat(F.lit(" City"), n % 50).alias("city"),
             _state(n).alias("state_code"),
             _zip(n).alias("zip_code"),
-            F.lit(AS_OF).cast("date").alias("as_of_date"),
+            F.col("at.day").alias("as_of_date"),
         )
 
     def march_set(self) -> DataFrame:
@@ -230,6 +237,12 @@ class Tables:
         return self.given("part").select("p_partkey", _address(k).alias("street"), _zip(k).alias("zip"), _state(k).alias("state"))
 
 
+def _at_dates(df: DataFrame, held: dict[str, Column]) -> DataFrame:
+    """Every row once for each date whose condition holds, as `at`: the date and its number in `held`."""
+    entries = [F.when(c, F.struct(F.lit(d).cast("date").alias("day"), F.lit(i).alias("kind"))) for i, (d, c) in enumerate(held.items())]
+    return df.withColumn("at", F.explode(F.array_compact(F.array(*entries))))
+
+
 def _product(key: Column) -> Column:
     return F.when(key % 11 == 0, "ARC").when(key % 11 == 1, "CONSTRUCTION").otherwise("TERM")
 

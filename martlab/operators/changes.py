@@ -73,17 +73,18 @@ def column_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
     }
 
 
-def dataset_diff(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows added, removed or changed from `a` to `b`: key, change_type, column_name, old_value, new_value.
+def dataset_diff(a: DataFrame, b: DataFrame, key: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows added, removed or changed from `a` to `b`: key columns, change_type, column_name, old_value, new_value.
 
     Keys should be unique. A key that repeats on a side is reported as DUPLICATE_KEY instead of being paired row by
     row. Both sides are stacked and grouped by key, so repeated keys are combined before the shuffle.
     """
-    columns = list(columns or [c for c in a.columns if c in b.columns and c != key])
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = list(columns or [c for c in a.columns if c in b.columns and c not in keys])
 
     def side(df: DataFrame, old: bool) -> DataFrame:
         return df.select(
-            key,
+            *keys,
             F.lit(1 if old else 0).alias("_na"),
             F.lit(0 if old else 1).alias("_nb"),
             *[(F.col(c).cast("string") if old else F.lit(None).cast("string")).alias(f"_a{i}") for i, c in enumerate(columns)],
@@ -92,7 +93,7 @@ def dataset_diff(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str] |
 
     sums = [F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")]
     values = [F.max(f"_{s}{i}").alias(f"_{s}{i}") for i in range(len(columns)) for s in "ab"]
-    both = side(a, True).unionByName(side(b, False)).groupBy(key).agg(*sums, *values)
+    both = side(a, True).unionByName(side(b, False)).groupBy(*keys).agg(*sums, *values)
 
     def entry(kind: Column | str, column: str | None, old: Column | None, new: Column | None) -> Column:
         none = F.lit(None).cast("string")
@@ -117,4 +118,4 @@ def dataset_diff(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str] |
         )
     )
     entries = F.when(whole.isNotNull(), F.array(entry(whole, None, None, None))).otherwise(per_column)
-    return both.select(key, F.explode(entries).alias("e")).select(key, "e.*")
+    return both.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*")

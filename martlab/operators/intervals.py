@@ -56,7 +56,7 @@ def close_events(
         "_slot": F.floor(F.col(START_US) / F.lit(slot_minutes * 60_000_000)),
     }).where(F.col(DAY).isNotNull() & F.col("_slot").isNotNull()).repartition(*at)
     order = [START_US, *then_by, *[c for c in others if c not in then_by]]
-    slots = _of_slots(rows, at, F.min(START_US).alias("_first"))
+    slots = slot_totals(rows, at, F.min(START_US).alias("_first"))
     along = Window.partitionBy("_key", DAY).orderBy("_slot")
     slots = slots.withColumn("_later", F.lead("_first").over(along)).drop("_first")
     if day_columns is not None:
@@ -70,7 +70,7 @@ def close_events(
     return closed.withColumns({START: from_micros(START_US), END: from_micros(END_US)})
 
 
-def _of_slots(rows: DataFrame, at: Sequence[str], *totals: Column) -> DataFrame:
+def slot_totals(rows: DataFrame, at: Sequence[str], *totals: Column) -> DataFrame:
     """Totals of each slot of `rows`, which are already partitioned by `at`.
 
     The hash of all columns is never NULL, so the condition on it drops nothing. It keeps columns that the totals do not
@@ -173,7 +173,7 @@ def overlap_by_running_sum(
 
     # inside a slot: step and step * (distance from the slot's start), both far from the range of a long
     weight = F.col("step") * F.col("_y")
-    totals = _of_slots(marks, at, F.sum("step").alias("_n"), F.sum(weight).alias("_w"))
+    totals = slot_totals(marks, at, F.sum("step").alias("_n"), F.sum(weight).alias("_w"))
     before = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     wide = lambda c: c.cast("decimal(38,0)")
     earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))

@@ -19,7 +19,9 @@ from ..operators.filter_tree import tree_predicate
 from ..operators.membership import missing_keys, tag_membership
 from ..operators.pick import pick_first
 from ..operators.profile import profile_fields
+from ..operators.snapshots import with_previous
 
+# The columns of the source tables and of the staged ones.
 # Output column, source column, type (None keeps the type of the source).
 CORE_LOANS = (
     ("loan_id", "loan_id", None),
@@ -246,22 +248,24 @@ def match_collateral(
 
 
 def roll_up_collateral(collaterals: DataFrame) -> DataFrame:
-    """Per loan: summed values, latest appraisal, and address of the best ranked collateral.
+    """Per loan: summed values, latest appraisal, and address of the best ranked collateral, in one grouping.
 
-    The totals combine per task, and only they and one ranked row per loan meet in the join.
+    `primary_order` as one struct: its least value is the first row. Negated numbers turn the order round, and a value
+    that is missing comes after all others.
     """
-    totals = collaterals.groupBy("loan_id").agg(
+    order = F.struct(
+        (~flag_is_set("primary_flag")).alias("a"),
+        F.col("appraisal_date").isNull().alias("b"), (-F.unix_date("appraisal_date")).alias("c"),
+        F.col("appraised_value").isNull().alias("d"), (-F.col("appraised_value")).alias("e"),
+        F.col("collateral_id").alias("f"),
+    )
+    texts = ["collateral_id", "street_address_raw", "city_raw", "state_code", "zip_code_raw"]
+    return collaterals.groupBy("loan_id").agg(
         exact_sum("appraised_value").alias("appraised_value"),
         F.max("appraisal_date").alias("appraisal_date"),
         exact_sum("book_value").alias("book_value"),
-    )
-    best = pick_first(collaterals, ["loan_id"], primary_order()).select(
-        "loan_id", "collateral_id", "street_address_raw", "city_raw", "state_code", "zip_code_raw"
-    )
-    return best.join(totals, "loan_id").select(
-        "loan_id", "collateral_id", "appraised_value", "appraisal_date", "book_value", "street_address_raw", "city_raw",
-        "state_code", "zip_code_raw",
-    )
+        F.min_by(F.struct(*texts), order).alias("_best"),
+    ).select("loan_id", "_best.collateral_id", "appraised_value", "appraisal_date", "book_value", *[f"_best.{c}" for c in texts[1:]])
 
 
 STRESS_COLUMNS = (
@@ -323,6 +327,22 @@ def match_rate_by(stress_input: DataFrame, by: Sequence[str]) -> DataFrame:
     return counted.withColumn("match_rate", ratio(F.col("matched_loans"), F.col("total_loans"), 4))
 
 
+def match_rates_over_time(
+    core_loans: DataFrame, collaterals: DataFrame, dates: Sequence[str], by: Sequence[str] = (), *, codes: Sequence[str] = REAL_ESTATE_CODES,
+) -> DataFrame:
+    """Share of loans with an eligible collateral per snapshot and group, with the rate of the snapshot before and the change.
+
+    All snapshots are counted in one pass: a loan meets the collaterals of its own date, reduced to one key each.
+    """
+    days = [F.lit(d).cast("date") for d in dates]
+    wanted = F.col("as_of_date").isin(*days)
+    covered = collaterals.where(wanted & F.col("collateral_type_code").isin(*codes)).select("loan_id", "as_of_date").distinct()
+    tagged = core_loans.where(wanted).join(covered.withColumn("has_collateral_match", F.lit(True)), ["loan_id", "as_of_date"], "left")
+    rates = match_rate_by(tagged.fillna(False, ["has_collateral_match"]), ["as_of_date", *by])
+    changes = with_previous(rates, by, "as_of_date", ["match_rate"])
+    return changes.withColumn("match_rate_change", F.round(F.col("match_rate") - F.col("previous_match_rate"), 4))
+
+
 def filter_discovery(core_loans: DataFrame, march: DataFrame, december: DataFrame, snapshots: Sequence[str]) -> DataFrame:
     """All loans of the snapshots with flags for membership of the two reference files."""
     days = [F.lit(d).cast("date") for d in snapshots]

@@ -187,3 +187,61 @@ def test_risk(spark):
         risk.term_cdr(F.lit(0.0), F.lit(0.0), F.lit(0.0), (1, 1, 1)).alias("e"),
     ).first()
     assert [round(x, 9) for x in row] == [1.0, 0.5, 1.2, 0.4, 0.5]
+
+
+# --- snapshots ---
+
+
+def test_as_of_rows_equal_a_scan(spark):
+    import random
+
+    from martlab.operators.snapshots import as_of_rows
+
+    rng = random.Random(4)
+    day = lambda n: None if n is None else D(2024, 1, 1) + dt.timedelta(n)
+    facts = [(rng.choice(["a", "b", None]), rng.choice([None, *range(0, 3000, 7)]), rng.randrange(5)) for _ in range(200)]
+    asked = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(-50, 3100)])) for _ in range(150)] * 2
+    f = spark.createDataFrame([(k, day(d), v) for k, d, v in facts], "k string, d date, v int")
+    a = spark.createDataFrame([(k, day(d)) for k, d in asked], "k string, at date")
+    want = []
+    for k, at in asked:
+        older = [(d, v) for fk, d, v in facts if k is not None and fk == k and d is not None and at is not None and d <= at]
+        want.append((k, day(at), (day(max(older)[0]), max(older)[1]) if older else None))
+    for slot_days in (1, 30, 100000):
+        got = [(r.k, r["at"], r.found and (r.found.d, r.found.v)) for r in as_of_rows(a, f, ["k"], asked_day="at", fact_day="d", slot_days=slot_days).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert "NestedLoop" not in plan_of(as_of_rows(a, f, ["k"], asked_day="at", fact_day="d"))
+
+
+def test_period_diff_and_previous(spark):
+    from martlab.operators.snapshots import period_diff, snapshots_at, with_previous
+
+    df = spark.createDataFrame([(1, D(2024, 1, 1), "x"), (1, D(2024, 2, 1), "y"), (1, D(2024, 3, 1), "y"), (2, D(2024, 1, 1), None), (2, D(2024, 3, 1), None),
+                                (3, D(2024, 2, 15), "no")], "id int, d date, v string")
+    got = period_diff(df, ["id"], "d", ["2024-01-01", "2024-02-01", "2024-03-01"], ["v"])
+    assert rows(got) == sorted([(D(2024, 2, 1), 1, "CHANGED", "v", "x", "y"), (D(2024, 2, 1), 2, "REMOVED", None, None, None),
+                                (D(2024, 3, 1), 2, "ADDED", None, None, None)], key=repr)
+    with pytest.raises(ValueError):
+        period_diff(df, ["id"], "d", ["2024-01-01"], ["v"])
+    known = snapshots_at(df, ["id"], "d", ["2023-12-31", "2024-02-20"])
+    assert rows(known) == sorted([(D(2024, 2, 20), 1, D(2024, 2, 1), "y"), (D(2024, 2, 20), 2, D(2024, 1, 1), None), (D(2024, 2, 20), 3, D(2024, 2, 15), "no")], key=repr)
+    before = with_previous(df, ["id"], "d", ["v"]).where("id = 1").select("d", "previous_v")
+    assert rows(before) == sorted([(D(2024, 1, 1), None), (D(2024, 2, 1), "x"), (D(2024, 3, 1), "y")], key=repr)
+
+
+def test_snapshot_filters_are_observed(spark, monkeypatch):
+    """Without its date filter a mart gives other rows, so the oracles would notice."""
+    from checks.shapes import AS_OF as TODAY, Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    core, nc = loans.stage_core_loans(t.core_loans()), loans.stage_ncino_loans(t.ncino_loans())
+    staged = loans.stage_collaterals(t.core_collaterals(), t.xref())
+    kept = loans.segment_loans(core, nc, TODAY)
+    same = loans.segment_loans(core.withColumn("as_of_date", F.lit(TODAY).cast("date")), nc, TODAY)
+    assert kept.count() < same.count()
+    flat = staged.withColumn("as_of_date", F.lit(TODAY).cast("date"))
+    a = loans.match_collateral(kept, staged, TODAY).select("loan_id", "appraised_value")
+    b = loans.match_collateral(kept, flat, TODAY).select("loan_id", "appraised_value")
+    assert rows(a) != rows(b)
+    found = loans.filter_discovery(core, t.march_set(), t.december_set(), [TODAY])
+    assert 0 < found.count() < core.count()
