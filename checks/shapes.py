@@ -221,7 +221,10 @@ class Tables:
         iso = F.date_add(F.lit("2001-01-01").cast("date"), (k % 3000).cast("int"))
         return self.given("part").select(
             "p_partkey",
-            F.when(k % 8 == 0, serial.cast("string"))
+            F.when(k % 12 == 8, F.date_format(iso, "M/d/yy")).when(k % 12 == 9, F.date_format(iso, "d-MMM-yy"))
+            .when(k % 12 == 10, F.regexp_replace(F.date_format(iso, "MMMM d, yyyy"), "September", "Sept"))
+            .when(k % 12 == 11, F.concat(F.date_format(iso, "MMM d, yyyy"), F.lit(" 10:00")))
+            .when(k % 8 == 0, serial.cast("string"))
             .when(k % 8 == 1, F.concat(serial.cast("string"), F.lit(".5")))
             .when(k % 8 == 2, F.date_format(iso, "yyyy-MM-dd"))
             .when(k % 8 == 3, F.lit("  "))

@@ -20,26 +20,27 @@ MICROS_PER_DAY = 86_400_000_000
 TRUE_TEXTS = ("true", "t", "yes", "y", "1")
 FALSE_TEXTS = ("false", "f", "no", "n", "0")
 
-# Formats tried after the ISO forms, by the shape of the text. A failing parse costs an exception per row, so only
-# formats that can fit are tried.
-FORMATS_BY_SHAPE = {
-    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}(:\d{2})?\z": ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm"),
-    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}(:\d{2})? +[AaPp][Mm]\z": ("M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a"),
-    r"^\d{1,2}/\d{1,2}/\d{4}\z": ("M/d/yyyy",),
-    r"^\d{1,2}-\d{1,2}-\d{4}\z": ("M-d-yyyy",),
-    r"^\d{4}/\d{1,2}/\d{1,2}\z": ("yyyy/M/d",),
-    r"^\d{4}/\d{1,2}/\d{1,2} +\d{1,2}:\d{2}(:\d{2})?\z": ("yyyy/M/d H:mm:ss", "yyyy/M/d H:mm"),
-    r"^\d{1,2} [A-Za-z]{3} \d{4}\z": ("d MMM yyyy",),
-    r"^[A-Za-z]{3} \d{1,2}, \d{4}\z": ("MMM d, yyyy",),
-    r"^[A-Za-z]{4,9} \d{1,2}, \d{4}\z": ("MMMM d, yyyy",),
-    r"^\d{8}\z": ("yyyyMMdd",),
-    r"^\d{1,2}-[A-Za-z]{3}-\d{4}\z": ("d-MMM-yyyy",),
-    r"^\d{1,2} [A-Za-z]{4,9} \d{4}\z": ("d MMMM yyyy",),
-    r"^[A-Za-z]{3} \d{1,2} \d{4}\z": ("MMM d yyyy",),
-    r"^[A-Za-z]{4,9} \d{1,2} \d{4}\z": ("MMMM d yyyy",),
-    r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{2}:\d{2}\.\d{3}\z": ("M/d/yyyy H:mm:ss.SSS",),
-    r"^\d{1,2}\.\d{1,2}\.\d{4}\z": ("M.d.yyyy",),
+# Texts that are not ISO are read as a day and a clock time. Formats of the day, by its shape once month names are cut to three
+# letters, commas are gone and years have four digits. A failing parse costs an exception per row, so only formats that
+# can fit are tried.
+DAY_FORMATS = {
+    r"^\d{1,2}/\d{1,2}/\d{4}\z": "M/d/yyyy",
+    r"^\d{1,2}-\d{1,2}-\d{4}\z": "M-d-yyyy",
+    r"^\d{1,2}\.\d{1,2}\.\d{4}\z": "M.d.yyyy",
+    r"^\d{4}/\d{1,2}/\d{1,2}\z": "yyyy/M/d",
+    r"^\d{1,2} [A-Za-z]{3} \d{4}\z": "d MMM yyyy",
+    r"^\d{1,2}-[A-Za-z]{3}-\d{4}\z": "d-MMM-yyyy",
+    r"^[A-Za-z]{3} \d{1,2} \d{4}\z": "MMM d yyyy",
+    r"^\d{4}-\d{1,2}-\d{1,2}\z": "yyyy-M-d",
+    r"^\d{8}\z": "yyyyMMdd",
 }
+MONTH_WORDS = (
+    r"(?i)\b(?:(jan)(?:uary)?|(feb)(?:ruary)?|(mar)(?:ch)?|(apr)(?:il)?|(may)|(jun)e?|(jul)y?|(aug)(?:ust)?|(sep)(?:t(?:ember)?)?|"
+    r"(oct)(?:ober)?|(nov)(?:ember)?|(dec)(?:ember)?)\b\.?"
+)
+CLOCK = r"^(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,6}))?)?(?: *([AaPp])[Mm])?\z"
+# Two-digit years from 69 on are of the 20th century.
+SHORT_YEARS = ((r"6[9]|[7-9]\d", "19"), (r"[0-5]\d|6[0-8]", "20"))
 
 # Type names of the mapping and what they stand for.
 TYPE_NAMES = {
@@ -83,12 +84,26 @@ def localize(stamp: Column, tz: str) -> Column:
     return F.when(ok, instant)
 
 
+def _clock_micros(clock: Column) -> Column:
+    """Microseconds of a time of day as text; 0 for no text, NULL for one that is no time."""
+    part = lambda i: F.regexp_extract(clock, CLOCK, i)
+    hour, minute, second = (F.coalesce(part(i).try_cast("int"), F.lit(0)) for i in (1, 2, 3))
+    half = F.lower(part(5))
+    hours = F.when(half == "", hour).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+    possible = clock.rlike(CLOCK) & (minute < 60) & (second < 60) & F.when(half == "", hour < 24).otherwise(hour.between(1, 12))
+    micros = ((hours * 60 + minute) * 60 + second).cast("long") * 1_000_000 + F.rpad(part(4), 6, "0").try_cast("long")
+    return F.when(clock == "", F.lit(0).cast("long")).when(possible, micros)
+
+
 def _text_to_timestamp(text: Column) -> Column:
-    tries = [text.try_cast("timestamp_ntz")]
-    for shape, formats in FORMATS_BY_SHAPE.items():
-        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
-        tries.append(F.when(text.rlike(shape), parsed))
-    return F.coalesce(*tries)
+    plain = F.regexp_replace(F.regexp_replace(text, MONTH_WORDS, "$1$2$3$4$5$6$7$8$9$10$11$12"), ",", " ")
+    plain = F.regexp_replace(plain, r"\s+", " ")
+    for digits, century in SHORT_YEARS:
+        year = rf"^(?<day>\d{{1,2}}(?<gap>[-/ ])(?:\d{{1,2}}|[A-Za-z]{{3}})\k<gap>)(?<year>{digits})(?= |\z)"
+        plain = F.regexp_replace(plain, year, "${day}" + century + "${year}")
+    day, clock = (F.regexp_extract(plain, r"^(.*?)(?:[ T](\d{1,2}:\d{2}.*))?\z", i) for i in (1, 2))
+    tries = [F.when(day.rlike(shape), F.try_to_timestamp(day, F.lit(form)).cast("timestamp_ntz")) for shape, form in DAY_FORMATS.items()]
+    return F.coalesce(text.try_cast("timestamp_ntz"), F.timestamp_add("MICROSECOND", _clock_micros(clock), F.coalesce(*tries)))
 
 
 def _is_numeric(dtype: T.DataType) -> bool:
@@ -163,7 +178,7 @@ def coerce_columns(
     for name, target in mapping.items():
         if name not in fields:
             if on_missing == "raise":
-                raise KeyError(f"Column not found: {name}")
+                raise KeyError(f"the table has no column {name}")
             continue
         c, dtype, spelled = F.col(f"`{name}`"), fields[name], _target_name(target)
         kind = TYPE_NAMES.get(spelled.lower())
@@ -184,5 +199,5 @@ def coerce_columns(
             try:
                 converted[name] = c.cast(T.DataType.fromDDL(ddl))
             except Exception as error:
-                raise TypeError(f"Failed to coerce column '{name}' to {target!r}: {error}") from error
+                raise TypeError(f"{target!r}, asked for {name}, is no known type: {error}") from error
     return df.withColumns(converted) if converted else df

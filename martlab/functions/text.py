@@ -77,6 +77,7 @@ def address_flags(
         raise ValueError("profile must be one of: 'basic', 'extended', 'loose'")
     raw = as_column(street)
     trimmed = F.trim(raw)
+    # The patterns of a number, of a street name and of a whole address.
     boxes, number, body, suffixes = PO_BOX_PATTERNS, r"^\d+", r"[\w\s\.\-]", BASIC_SUFFIXES
     boxed = raw
     if profile == "extended":

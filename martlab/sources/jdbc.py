@@ -54,7 +54,7 @@ def reader_options(
     `chunk_size` is the number of rows per round trip of each task. Without `split` a single task reads the result.
     """
     if chunk_size <= 0:
-        raise ValueError("chunk_size must be greater than 0")
+        raise ValueError(f"a round trip fetches one row or more, not {chunk_size}")
     text = bind_parameters(check_select(query, source.dialect), params, source.dialect)
     if source.dialect == "snowflake":
         missing = [k for k in SNOWFLAKE_REQUIRED if not source.options.get(k)]
@@ -104,7 +104,7 @@ def load_query(
 ) -> int:
     """Query result into a catalog table; returns the number of rows. Arguments are checked before connecting."""
     if if_exists not in MODES:
-        raise ValueError("if_exists must be one of: 'replace', 'append', 'fail'")
+        raise ValueError(f"if_exists is {if_exists!r}, which is none of {MODES}")
     qualified(target_table, database)
     return write_table(
         read_query(spark, source, query, params, **how), target_table, database=database, if_exists=if_exists

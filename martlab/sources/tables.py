@@ -42,13 +42,13 @@ def write_table(
     creates the table when absent. fail: raises when the table is present. Rows are counted while they are written.
     """
     if if_exists not in MODES:
-        raise ValueError("if_exists must be one of: 'replace', 'append', 'fail'")
+        raise ValueError(f"if_exists is {if_exists!r}, which is none of {MODES}")
     spark, target = df.sparkSession, qualified(name, database)
     if "." in target:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.split('.')[0]}")
     present = spark.catalog.tableExists(target)
     if present and if_exists == "fail":
-        raise ValueError(f"Target table '{target}' already exists.")
+        raise ValueError(f"a table {target} already exists, and if_exists is 'fail'")
 
     # One uncut key keeps the count apart from other observations in the plan.
     seen = Observation(f"rows_{uuid.uuid4().hex}")

@@ -157,6 +157,15 @@ def test_timestamps(spark):
     assert coerced(spark, "March 3, 2025", "timestamp") == dt.datetime(2025, 3, 3)
     assert coerced(spark, "2025/3/31 4:05", "timestamp") == dt.datetime(2025, 3, 31, 4, 5)
     assert coerced(spark, "13/31/2025", "timestamp") is None
+    for text, want in {
+        "12/31/25": dt.datetime(2025, 12, 31), "1/2/70": dt.datetime(1970, 1, 2), "1-2-68": dt.datetime(2068, 1, 2), "31-Dec-25": dt.datetime(2025, 12, 31),
+        "31 DEC 25": dt.datetime(2025, 12, 31), "Sept 5, 2025": dt.datetime(2025, 9, 5), "Sept. 5 2025": dt.datetime(2025, 9, 5),
+        "Dec 31, 2025 10:00": dt.datetime(2025, 12, 31, 10), "5 September 2025 11:05:06 pm": dt.datetime(2025, 9, 5, 23, 5, 6),
+        "12/31/25 12:30 AM": dt.datetime(2025, 12, 31, 0, 30), "3/1/2025 4:05:06.25": dt.datetime(2025, 3, 1, 4, 5, 6, 250000),
+        "3/1/2025 13:00 PM": None, "3/1/2025 24:00": None, "3/1/2025 4:60": None, "2/30/2025": None, "Marching 5, 2025": None, "May": None,
+        "5/5": None, "12/31/25x": None,
+    }.items():
+        assert coerced(spark, text, "timestamp") == want, text
     assert coerced(spark, "2025-03-31T04:05:06.5", "datetime64") == dt.datetime(2025, 3, 31, 4, 5, 6, 500000)
 
 
