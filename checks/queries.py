@@ -16,14 +16,19 @@ from martlab.operators import changes as ch
 from martlab.operators import freshness as fr
 from martlab.operators import intervals as iv
 from martlab.operators import membership as mb
+from martlab.operators import narrow
 from martlab.operators import quality as q
 from martlab.operators import record_filters as rf
 from martlab.operators import snapshots as sn
+from martlab.operators import stored, text_index
 from martlab.operators.filter_tree import filter_tree
+from martlab.operators.positions import Ordered
 from martlab.plans import dashboard, loans, risk, workforce
 from martlab.session import shared_folder, tune
 from martlab.sources.files import read_seed
-from martlab.sources.tables import export_files, read_table, write_table
+from martlab.sources.jdbc import read_catalog_query
+from martlab.sources.tables import export_files, materialize, read_table, write_table
+from martlab.sources.versioned import VersionedTable
 from martlab.sources.workbook import workbook_rows
 
 from .shapes import AS_OF, CHECK_DATE, EARLIER, PRODUCTIVE, Tables
@@ -190,6 +195,25 @@ def dataset_diff(t):
                            t.december_set().withColumn("v", F.col("loan_id") % 20), "loan_id")
 
 
+@query
+def narrowed_parity(t):
+    return narrow.narrowed_parity(t.march_set(), t.december_set(), "loan_id", ["loan_id", "loan_number"], ours_name="dbt", theirs_name="manual")
+
+
+@query
+def narrowed_diff(t):
+    return narrow.narrowed_diff(t.march_set().withColumn("v", F.col("loan_id") % 10),
+                                t.december_set().withColumn("v", F.col("loan_id") % 20), "loan_id")
+
+
+@query
+def filter_pattern_positions(t):
+    """The report with the place of each row in its output order."""
+    report = loans.filter_pattern_analysis(_discovery(t), loans.stage_core_loans(t.core_loans()), t.december_set(), AS_OF)
+    order = [F.col("filter_field").asc(), F.col("dec_input_count").desc(), F.col("field_value").asc()]
+    return Ordered(report.select("filter_field", "field_value", "dec_input_count"), *order).rows()
+
+
 # --- addresses, text, dates -------------------------------------------------------------------------------------------
 
 
@@ -443,6 +467,37 @@ def record_search(t):
     return every.withColumn("parsed_id", rf.suggestion_id("suggestion"))
 
 
+@query
+def all_facets(t):
+    return rf.all_facets(dashboard.review_grid(t.records()), GRID_FILTERS, ["category", "month", "item"])
+
+
+@query
+def indexed_search(t):
+    """The same search by postings; the last term is too short for them."""
+    database, _ = _scratch(t)
+    rows = t.records()
+    text_index.build_index(rows, f"{database}.pieces", ["category", "item"])
+    found = [text_index.indexed_search(rows, f"{database}.pieces", ["category", "item"], term).withColumn("term", F.lit(term))
+             for term in ("urgent", "FURN", "h%n_ry", "5-")]
+    return reduce(DataFrame.unionByName, found).select("term", "id", "category", "item")
+
+
+def _sorted_grid(t: Tables) -> Ordered:
+    grid = dashboard.review_grid(t.records())
+    return Ordered(grid, rf.sort_order(grid, "value_text", kind="num", ascending=False), F.col("id"))
+
+
+@query
+def typed_sort_positions(t):
+    return _sorted_grid(t).rows().select("id", "value_text", "position")
+
+
+@query
+def grid_page(t):
+    return _sorted_grid(t).page(101, 50)
+
+
 @query
 def record_lookup(t):
     return rf.get_record(t.records(), 77)
@@ -464,6 +519,33 @@ def rejected_changes(t):
     return ch.rejected_changes(broken)
 
 
+def _risky_changes(t: Tables) -> DataFrame:
+    """The changes, some of which break a record rule."""
+    bad = F.when(F.col("field") == "month", "13").when(F.col("field") == "accepted", "7").otherwise("  ")
+    return t.changes().withColumn("new_value", F.when(F.col("seq") % 7 == 0, bad).otherwise(F.col("new_value")))
+
+
+@query
+def apply_checked_changes(t):
+    return ch.apply_changes(t.records(), _risky_changes(t))
+
+
+@query
+def edit_stored_records(t):
+    """A stored table after a batch of edits, with whether the partitions without an edited record kept their files."""
+    database, _ = _scratch(t)
+    name = f"{database}.records"
+    stored.store_records(t.records(), name, rows_per_part=400)
+    # what the batch will touch: ids below 1,000, so the first partitions
+    changes = _risky_changes(t)
+    touched = [r["p"] for r in changes.select(F.floor(F.col("id") / 400).cast("long").alias("p")).distinct().collect()]
+    before = stored.file_digest(t.spark, name, but=touched)
+    parts, refused = stored.edit_records(t.spark, name, changes)
+    same = stored.file_digest(t.spark, name, but=touched) == before and set(parts) <= set(touched)
+    edited = read_table(t.spark, "records", database).drop(stored.PART)
+    return edited.withColumns({"others_untouched": F.lit(same), "refused": F.lit(refused.count()).cast("long")})
+
+
 @query
 def toggle_accepted(t):
     return ch.toggle_flag(t.records(), t.changes())
@@ -589,6 +671,51 @@ def csv_export_import(t):
     return read_seed(t.spark, f"{folder}/csv", schema)
 
 
+@query
+def versioned_replace(t):
+    """Two loads and a failed one: readers see the second, and the first is expired."""
+    database, folder = _scratch(t)
+    table = VersionedTable(t.spark, f"{database}.lines", f"{folder}/versions")
+    lines = t.given("lineitem").select("l_orderkey", "l_returnflag")
+    first = table.replace(lines.where("l_returnflag = 'A'"))
+    second = table.replace(lines)
+    try:
+        table.replace(lines.withColumn("l_orderkey", F.when(F.col("l_returnflag") == "N", F.raise_error(F.lit("no"))).otherwise(F.col("l_orderkey"))))
+        failed = False
+    except Exception:
+        failed = True
+    kept = len(table.versions()) - len(table.expire(keep=1))
+    counted = table.read().groupBy("l_returnflag").agg(F.count("*").alias("n_rows"))
+    return counted.withColumns({"first": F.lit(first).cast("long"), "second": F.lit(second).cast("long"), "failed": F.lit(failed), "versions": F.lit(kept)})
+
+
+@query
+def logged_runs(t):
+    """A run log in a table, after gated runs of two schedulers on one day, of the next day, and of a day with a source behind."""
+    database, folder = _scratch(t)
+    name = f"{database}.run_log"
+    write_table(t.spark.createDataFrame([], fr.LOG_SCHEMA), name)
+    day = t.given("events").agg(F.max(F.col("ts").cast("date")).cast("string").alias("d")).first()["d"]
+    later = str(pd.Timestamp(day).date() + pd.Timedelta(days=1))
+    fresh = {"events": _sources(t)["events"]}
+    for today in (day, day, later):
+        claim = fr.RunClaim(t.spark, folder, "loans", today)
+        fr.gated_run(t.spark, name, lambda d=today: fr.source_freshness(fresh, d), lambda: None, today=today, now=f"{today} 12:00:00", claim=claim)
+    return t.spark.table(name).select("log_id", F.col("run_timestamp").cast("timestamp_ntz").alias("run_timestamp"), "status", "sources_ready", "already_ran")
+
+
+@query
+def catalog_query(t):
+    """A guarded query with parameters over a materialised view and a table."""
+    database, _ = _scratch(t)
+    materialize(t.given("orders"), "catalog_query_orders", "view")
+    materialize(t.given("customer").select("c_custkey", "c_mktsegment"), "buyers", "table", database)
+    return read_catalog_query(
+        t.spark, f"select c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total from catalog_query_orders "
+        f"join {database}.buyers on o_custkey = c_custkey where o_totalprice >= :low and c_mktsegment in (:first, :second) group by c_mktsegment;",
+        {"low": 100000, "first": "BUILDING", "second": "FURNITURE"})
+
+
 def _as_workbook(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     table = [["P-PartKey", " P Name", "P_RetailPrice", "Wide", "Made On"]]
     for r in rows.sort_values("p_partkey").itertuples():

@@ -23,13 +23,15 @@ def apply_changes(
     """Records with the last change of every (id, field) applied; ids without a record are ignored.
 
     Changes hold text values. They are reduced to one row per id before the join, combining per task first, so an id
-    with very many edits costs one row. A field outside `editable` raises when the plan runs.
+    with very many edits costs one row. A field outside `editable` raises when the plan runs. A value that breaks a record
+    rule is refused, as `rejected_changes` lists it, and leaves the edit before it in force.
     """
     name = F.col(field)
     known = F.when(name.isin(*editable), name).otherwise(
         F.raise_error(F.concat(F.lit("Invalid field: "), F.coalesce(name, F.lit("(null)"))))
     )
-    checked = changes.select(key, known.alias("_field"), F.col(value).alias("_value"), F.col(order).alias("_order"))
+    kept = F.when(~_breaks_rule(field, value), F.col(value))
+    checked = changes.select(key, known.alias("_field"), kept.alias("_value"), F.col(order).alias("_order"))
     latest = checked.groupBy(key).agg(
         *[
             # fields hold no NULL, so a NULL edit is refused and leaves the edit before it in force
@@ -43,17 +45,23 @@ def apply_changes(
     return joined.withColumns(updated).select(*df.columns)
 
 
-def rejected_changes(changes: DataFrame, *, field: str = "field", value: str = "new_value") -> DataFrame:
-    """Changes that break a record rule: unknown field, month outside 1..12, accepted not 0/1, blank text, no number."""
+def _breaks_rule(field: str, value: str) -> Column:
+    """Whether a value is refused for its field: month outside 1..12, accepted not 0/1, blank text, no number; never NULL."""
     f, v = F.col(field), F.trim(F.col(value))
-    bad = (
-        (~f.isin(*EDITABLE))
-        | ((f == "month") & ~F.coalesce(v.try_cast("int").between(1, 12), F.lit(False)))
-        | ((f == "accepted") & ~F.coalesce(v.isin("0", "1"), F.lit(False)))
-        | (f.isin("category", "item") & (F.coalesce(v, F.lit("")) == ""))
-        | ((f == "value") & v.try_cast("double").isNull())
+    fine = (
+        F.when(f == "month", v.try_cast("int").between(1, 12))
+        .when(f == "accepted", v.isin("0", "1"))
+        .when(f.isin("category", "item"), v != "")
+        .when(f == "value", v.try_cast("double").isNotNull())
+        .otherwise(True)
     )
-    return changes.where(F.coalesce(bad, F.lit(True)))
+    return ~F.coalesce(fine, F.lit(False))
+
+
+def rejected_changes(changes: DataFrame, *, field: str = "field", value: str = "new_value") -> DataFrame:
+    """Changes that break a record rule: unknown field, month outside 1..12, accepted not 0/1, blank text, no number."""
+    unknown = ~F.coalesce(F.col(field).isin(*EDITABLE), F.lit(False))
+    return changes.where(unknown | _breaks_rule(field, value))
 
 
 def toggle_flag(df: DataFrame, ids: DataFrame, *, key: str = "id", flag: str = "accepted") -> DataFrame:

@@ -91,6 +91,36 @@ def last_runs(log: DataFrame, n: int = 20) -> DataFrame:
     return log.orderBy(F.col("run_timestamp").desc(), F.col("log_id").desc()).limit(n)
 
 
+class RunClaim:
+    """The right to run a task on a day, held as a folder that only one caller can create.
+
+    The folder lies in `root`, which all schedulers share. A run that succeeded keeps its claim; one that failed gives it back. The
+    claim of a scheduler that died stays until `release` is called.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, task: str, day: str):
+        jvm = spark._jvm
+        name = "".join(c if c.isalnum() else f"_{ord(c):x}_" for c in f"{task}@{day}")
+        self._jvm, self._path = jvm, jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/claims/{name}")
+        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def take(self) -> bool:
+        """Whether this caller got the claim."""
+        self._fs.mkdirs(self._path.getParent())
+        if self._fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then; mkdir is one step
+            return self._jvm.java.io.File(self._path.toUri().getPath()).mkdir()
+        try:
+            self._fs.create(self._path, False).close()
+            return True
+        except Exception:
+            if self._fs.exists(self._path):
+                return False
+            raise
+
+    def release(self) -> None:
+        self._fs.delete(self._path, True)
+
+
 def gated_run(
     spark: SparkSession,
     log_table: str,
@@ -99,8 +129,12 @@ def gated_run(
     *,
     today: Column | str | None = None,
     now: Column | str | None = None,
+    claim: RunClaim | None = None,
 ) -> str:
-    """Run `job` once a day when all sources are current, and log the outcome. Returns the status."""
+    """Run `job` once a day when all sources are current, and log the outcome. Returns the status.
+
+    With a `claim`, of several schedulers that pass the gate at once one runs the job and the others skip it.
+    """
     log = spark.table(log_table)
     empty = spark.createDataFrame([], "source_name string, is_current boolean")
     row = run_decision(log, empty, today, now)
@@ -121,9 +155,13 @@ def gated_run(
         return record(ERROR, FRESHNESS_FAILED, None, False, str(error))
     if not ready:
         return record(SKIPPED_SOURCES, MESSAGES[SKIPPED_SOURCES], False, False, None)
+    if claim and not claim.take():
+        return record(ALREADY, MESSAGES[ALREADY], None, True, None)
     try:
         job()
     except Exception as error:
+        if claim:
+            claim.release()
         return record(ERROR, MESSAGES[ERROR], True, False, str(error))
     return record(SUCCESS, MESSAGES[SUCCESS], True, False, None)
 

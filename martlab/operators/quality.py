@@ -1,9 +1,8 @@
-"""Data checks. Each single check returns the failing rows; `run_checks` reports counts for many in few passes."""
+"""Data checks. Each single check returns the failing rows; `run_checks` reports counts for many in one pass."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,23 +59,31 @@ def run_checks(
     accepted: Mapping[str, Sequence] | None = None,
     rules: Mapping[str, Column | str] | None = None,
 ) -> DataFrame:
-    """One row per check: check, failures, passed.
+    """One row per check: check, failures, passed, in one pass over the rows.
 
-    All row-level checks share a single aggregation. Uniqueness needs the rows grouped by the column, hence one more
-    aggregation per unique column.
+    A row sends an entry for each check that it fails and for each of its values in a unique column; entries are counted
+    per task before they are shuffled. A failing check of a row adds up; of a unique column, the values counted more than once do.
     """
-    counts: dict[str, Column] = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in not_null}
-    counts |= {f"accepted:{c}": F.count_if(~F.col(c).isin(*v)) for c, v in (accepted or {}).items()}
-    for name, rule in (rules or {}).items():
-        counts[f"rule:{name}"] = F.count_if(~(F.expr(rule) if isinstance(rule, str) else rule))
-    reports = []
-    if counts:
-        one_row = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts.values())])
-        entries = [F.struct(F.lit(n).alias("check"), F.col(f"_{i}").alias("failures")) for i, n in enumerate(counts)]
-        reports.append(one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.check", "e.failures"))
-    for c in unique:
-        repeated = check_unique(df, c).agg(F.count("*").alias("failures"))
-        reports.append(repeated.select(F.lit(f"unique:{c}").alias("check"), "failures"))
-    if not reports:
+    failing: dict[str, Column] = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
+    failing |= {f"accepted:{c}": ~F.col(c).isin(*v) for c, v in (accepted or {}).items()}
+    failing |= {f"rule:{n}": ~(F.expr(r) if isinstance(r, str) else r) for n, r in (rules or {}).items()}
+    names = [*failing, *(f"unique:{c}" for c in unique)]
+    if not names:
         raise ValueError("run_checks needs at least one check")
-    return reduce(DataFrame.unionByName, reports).withColumn("passed", F.col("failures") == 0)
+    # values keep their types: one field for each unique column, of which an entry fills its own
+    fields = {f"v{i}": (c, df.schema[c].dataType) for i, c in enumerate(unique)}
+
+    def entry(number: int, filled: str | None) -> Column:
+        values = [F.col(c).alias(v) if v == filled else F.lit(None).cast(t).alias(v) for v, (c, t) in fields.items()]
+        return F.struct(F.lit(number).alias("number"), *values)
+
+    sent = [F.when(wrong, entry(i, None)) for i, wrong in enumerate(failing.values())]
+    sent += [F.when(F.col(c).isNotNull(), entry(len(failing) + i, v)) for i, (v, (c, _)) in enumerate(fields.items())]
+    counted = (df.select(F.explode(F.array_compact(F.array(*sent))).alias("e")).select("e.*")
+               .groupBy("number", *fields).agg(F.count("*").alias("n")))
+    found = counted.groupBy("number").agg(
+        F.sum(F.when(F.col("number") < len(failing), F.col("n")).otherwise((F.col("n") > 1).cast("long"))).alias("failures"))
+    every = F.explode(F.array(*[F.struct(F.lit(i).alias("number"), F.lit(n).alias("check")) for i, n in enumerate(names)]))
+    listed = df.sparkSession.range(1).select(every.alias("e")).select("e.*")
+    return listed.join(found, "number", "left").select(
+        "check", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"), (F.coalesce("failures", F.lit(0)) == 0).alias("passed"))

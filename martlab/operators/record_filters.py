@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -72,18 +72,38 @@ def facet_values(df: DataFrame, filters: Mapping[str, Mapping | None], column: s
     return apply_column_filters(df, others).select(text).distinct().orderBy(F.lower("value"), "value")
 
 
-def typed_sort(df: DataFrame, column: str, *, kind: str = "str", ascending: bool = True, then: str | None = None) -> DataFrame:
-    """Sort by number (what is no number counts as infinite) or by case-folded text.
+def all_facets(df: DataFrame, filters: Mapping[str, Mapping | None], columns: Sequence[str]) -> DataFrame:
+    """(field, value): what `facet_values` gives for each of `columns`, in one pass over the rows.
 
-    Ties keep the order of the input. That also lets Spark cut a value shared by very many rows into several sort
-    partitions.
+    Every row knows which filters it fails. It counts for a column if it fails none, or that column's own alone.
     """
+    active = {c: s for c, s in filters.items() if s is not None}
+    failed = [F.when(~F.coalesce(_condition(df, c, s), F.lit(False)), F.lit(c)) for c, s in active.items()]
+    marked = df.withColumn("_failed", F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>"))
+    own = lambda c: (F.size("_failed") == 0) | ((F.size("_failed") == 1) & F.array_contains("_failed", c))
+    shows = lambda c: F.coalesce(shown(F.col(c), df.schema[c].dataType), F.lit("None"))
+    entries = [F.when(own(c), F.struct(F.lit(c).alias("field"), shows(c).alias("value"))) for c in columns]
+    rows = marked.where(F.size("_failed") < 2).select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    return rows.select("e.field", "e.value").distinct().orderBy("field", F.lower("value"), "value")
+
+
+def sort_order(df: DataFrame, column: str, *, kind: str = "str", ascending: bool = True) -> Column:
+    """The order of `typed_sort` by one column, for positions and pages."""
     if kind == "num":
         key = F.coalesce(_number(df, column).cast("double"), F.lit(float("inf")))
     else:
         key = F.lower(F.coalesce(shown(F.col(column), df.schema[column].dataType), F.lit("None")))
-    order = [key.asc() if ascending else key.desc()]
-    return df.orderBy(*order, *([F.col(then)] if then else []), F.monotonically_increasing_id())
+    return key.asc() if ascending else key.desc()
+
+
+def typed_sort(df: DataFrame, column: str, *, kind: str = "str", ascending: bool = True, then: str | None = None) -> DataFrame:
+    """Sort by number (what is no number counts as infinite) or by case-folded text.
+
+    Ties keep the order of the input. That also lets Spark cut a value shared by very many rows into several sort
+    partitions.
+    """
+    first = sort_order(df, column, kind=kind, ascending=ascending)
+    return df.orderBy(first, *([F.col(then)] if then else []), F.monotonically_increasing_id())
 
 
 def search_records(df: DataFrame, term: str | None, limit: int = 50) -> DataFrame:

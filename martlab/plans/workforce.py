@@ -115,9 +115,11 @@ def absenteeism_by_type(
 
 
 def _types_text(entries: str) -> Column:
-    """Types of the entries in order, each as often as it was entered."""
-    texts = F.transform(F.array_sort(entries), lambda e: F.array_repeat(e["leave_type"], e["n"].cast("int")))
-    return F.array_join(F.flatten(texts), " | ")
+    """Types of the entries in order, each as often as it was entered; the text is as long as its entries, nothing else is held."""
+    gap = " | "
+    texts = F.transform(F.array_sort(entries), lambda e: F.concat(
+        F.repeat(F.concat(e["leave_type"], F.lit(gap)), (e["n"] - 1).cast("int")), e["leave_type"]))
+    return F.array_join(texts, gap)
 
 
 def absenteeism_daily(

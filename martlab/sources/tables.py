@@ -85,6 +85,8 @@ def write_table(
         raise
     if present:
         spark.sql(f"DROP TABLE {aside}")
+    if partition_by:  # some catalogs keep the staging paths of the partitions through a rename
+        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
     return seen.get["rows"]
 
 
