@@ -1,4 +1,4 @@
-"""What several operators share: tables in the shared folder, bucketed blocks, fixed-size bit filters, components."""
+"""What several operators share: tables in the shared folder, bucketed blocks, bounded bit filters, components."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martlab.session import shared_folder
 
 BLOCK_BYTES = 16 << 20
-FILTER_BITS = 23  # a filter always has 2 ** 23 bits, one megabyte, however much is put in
+FILTER_BITS, MOST_BITS = 20, 25  # a filter has 2 ** 20 to 2 ** 25 bits (four megabytes)
 
 
 class Scratch:
@@ -79,23 +79,28 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         start = stop
 
 
-# Bit filters: a fixed number of bits, so broadcasting one is bounded; a full filter only lets more rows through.
+# Bit filters: two bits for each entry among at most 2 ** MOST_BITS, so a broadcast is bounded; a full filter only lets more rows through.
 
-def filter_positions(hashes: np.ndarray) -> list[np.ndarray]:
-    keep = np.uint64((1 << FILTER_BITS) - 1)
-    return [(hashes & keep).astype(np.int64), ((hashes >> np.uint64(FILTER_BITS)) & keep).astype(np.int64)]
+def filter_positions(hashes: np.ndarray, width: int = FILTER_BITS) -> list[np.ndarray]:
+    keep = np.uint64((1 << width) - 1)
+    return [(hashes & keep).astype(np.int64), ((hashes >> np.uint64(width)) & keep).astype(np.int64)]
 
 
-def build_filter(df: DataFrame, column: str) -> np.ndarray:
-    """Bits of all 64-bit hashes in a column, or-ed on the executors into at most 2 ** 17 words of 64 bits."""
-    mask = (1 << FILTER_BITS) - 1
+def filter_width(count: int) -> int:
+    """Bits of the position in a filter for so many entries: some 16 bits an entry, within bounds."""
+    return min(max(FILTER_BITS, (16 * count).bit_length()), MOST_BITS)
+
+
+def build_filter(df: DataFrame, column: str, width: int = FILTER_BITS) -> np.ndarray:
+    """Bits of all 64-bit hashes in a column, or-ed on the executors into words of 64 bits."""
+    mask = (1 << width) - 1
     bit = F.explode(F.array(F.col(column).bitwiseAND(F.lit(mask)),
-                            F.shiftrightunsigned(column, FILTER_BITS).bitwiseAND(F.lit(mask))))
+                            F.shiftrightunsigned(column, width).bitwiseAND(F.lit(mask))))
     words = (df.select(bit.alias("bit"))
              .groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
              .collect())
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out = np.zeros(1 << (width - 6), np.int64)
     for word, bits in words:
         out[word] = bits
     return out.view(np.uint64)
@@ -103,7 +108,7 @@ def build_filter(df: DataFrame, column: str) -> np.ndarray:
 
 def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     found = np.ones(len(hashes), bool)
-    for at in filter_positions(hashes):
+    for at in filter_positions(hashes, len(bits).bit_length() + 5):
         found &= (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
     return found
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, build_filter, in_filter, slices
+from .common import Scratch, build_filter, filter_width, in_filter, slices
 from .shingles import flat_words, runs, weighted_sets
 
 CONTAINMENT = 0.8
@@ -67,13 +67,13 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame,
         ranked.withColumn("sketch", F.least("size", spare(F.col("class_top"), containment) + 1))
         .where("rank <= sketch")
         .select("item_id", "shingle", (F.col("sketch") - spare(F.col("size"), containment)).alias("needed"), "size"))
-    hits = shingle_rows(docs, "doc_id", build_filter(sketches, "shingle")).join(sketches, "shingle")
+    hits = shingle_rows(docs, "doc_id", build_filter(sketches, "shingle", filter_width(sketches.count()))).join(sketches, "shingle")
     candidates = scratch.write(
         hits.groupBy("doc_id", "item_id").agg(F.count_distinct("shingle").alias("hits"), F.first("needed").alias("needed"),
                                               F.first("size").alias("size"))
         .where("hits >= needed").select("doc_id", "item_id", "size"))
     wanted = scratch.write(shingles.join(candidates.select("item_id").distinct(), "item_id", "left_semi"))
-    found = (shingle_rows(docs, "doc_id", build_filter(wanted, "shingle")).join(wanted, "shingle")
+    found = (shingle_rows(docs, "doc_id", build_filter(wanted, "shingle", filter_width(wanted.count()))).join(wanted, "shingle")
              .groupBy("doc_id", "item_id").agg(F.count_distinct("shingle").alias("shared")))
     share = Fraction(str(containment))
     return found.join(candidates, ["doc_id", "item_id"]).where(

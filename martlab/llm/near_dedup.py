@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices
+from .common import Scratch, build_filter, filter_width, in_filter, slices
 from .nearlinks import bands_and_rows, linked_classes
 from .shingles import flat_words, mix, runs, weighted_sets
 
@@ -80,14 +80,14 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights = counts.astype(np.float64)
             held = registers(owner, hashes, weights, n)
             bands = np.zeros((n, BANDS), np.uint64)
-            for i in range(ROWS):
+            for i in range(ROWS):  # the number of the band is part of its hash
                 bands = mix(bands * ROUND + held[:, i::ROWS] + np.arange(BANDS, dtype=np.uint64))
             whole = identity(hashes, counts, bounds).view(np.int64)
             some = np.diff(bounds) > 0
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"),
                 pa.array(whole, mask=~some),
-                pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), bands.ravel().view(np.int64)),
+                pa.array([row.tobytes() for row in bands], pa.binary()),
                 pa.array([row.tobytes() for row in (held & np.uint64(255)).astype(np.uint8)], pa.binary()),
             ], ["doc_id", "same", "bands", "marks"])
 
@@ -105,50 +105,47 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (p_until[shared] / p[shared] + q_after[shared] / q[shared])).sum())
 
 
-def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of texts whose probability Jaccard reaches the similarity; a text must be the one its identity tells of."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            sets, right = [], np.ones(part.num_rows, bool)
-            for name, key in (("tu", "u"), ("tv", "v")):
-                _, hashes, counts, at = weighted_sets(*runs(*flat_words(part.column(name))))
-                right &= identity(hashes, counts, at).view(np.int64) == part.column(key).to_numpy()
-                sets.append([(hashes[i:j], counts[i:j]) for i, j in zip(at[:-1], at[1:])])
-            keep = [bool(ok) and probability_jaccard(a, b) >= SIMILARITY - 1e-12 for ok, a, b in zip(right, *sets)]
-            yield part.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def pack(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    return hashes.tobytes() + counts.astype(np.int64).tobytes()
+
+
+def alike(a: bytes, b: bytes) -> bool:
+    """Whether the probability Jaccard of two packed texts reaches the similarity."""
+    sets = []
+    for cell in (a, b):
+        both = np.frombuffer(cell, np.uint64)
+        sets.append((both[:len(both) // 2], both[len(both) // 2:].astype(np.int64)))
+    return probability_jaccard(*sets) >= SIMILARITY - 1e-12
 
 
 def near_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (doc_id, same), classes (same, label) and links (u, v) between things with different shingle counts."""
     scratch = Scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL")
-    described = scratch.write(docs.mapInArrow(describe, "doc_id long, same long, bands array<long>, marks binary"))
+    described = scratch.write(docs.mapInArrow(describe, "doc_id long, same long, bands binary, marks binary"))
     rows = scratch.write(described.select("doc_id", "same"))
-    things = scratch.write(described.where("same IS NOT NULL").groupBy("same").agg(
-        F.first("marks").alias("marks"), F.first("bands").alias("bands"), F.min("doc_id").alias("holder")))
+    things = scratch.write(described.where("same IS NOT NULL").groupBy(F.col("same").alias("id")).agg(
+        F.first("marks").alias("sketch"), F.first("bands").alias("bands"), F.min("doc_id").alias("holder")))
     scratch.drop(described)
-    bands = things.select(F.posexplode("bands").alias("band", "hash"), F.col("same").alias("id")).select(
-        F.xxhash64("band", "hash").alias("bucket"), "id")
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("mu", "mv"))
-            yield batch.select(["u", "v", "du", "dv"]).filter(pa.array((x == y).mean(1) >= SURELY_LESS, pa.bool_()))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        a, b = (things.select(F.col("same").alias(x), F.col("marks").alias(f"m{x}"), F.col("holder").alias(f"d{x}"))
-                for x in "uv")
-        near = scratch.write(pairs.join(a, "u").join(b, "v").select("u", "v", "mu", "mv", "du", "dv")
-                             .mapInArrow(agree, "u long, v long, du long, dv long"))
-        wanted = near.select(F.explode(F.array("du", "dv")).alias("doc_id")).distinct()
-        texts = scratch.write(docs.join(wanted, "doc_id", "left_semi"))
-        tu, tv = (texts.select(F.col("doc_id").alias(f"d{x}"), F.col("text").alias(f"t{x}")) for x in "uv")
-        return near.join(tu, "du").join(tv, "dv").select("u", "v", "tu", "tv").mapInArrow(
-            similar, "u long, v long").distinct()
-
-    classes, links = linked_classes(
-        spark, bands, verify, things.select(F.col("same").alias("id"), F.col("marks").alias("sketch")), SURELY_LESS)
+
+    def contents(ids: DataFrame) -> DataFrame:
+        wanted = scratch.write(things.select("id", "holder").join(ids, "id", "left_semi"))
+        bits = build_filter(wanted.select(F.xxhash64("holder").alias("h")), "h", filter_width(wanted.count()))
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = in_filter(bits, batch.column("h").to_numpy().view(np.uint64))
+                for part in slices(batch.filter(pa.array(keep, pa.bool_())), "text"):
+                    _, hashes, counts, at = weighted_sets(*runs(*flat_words(part.column("text"))))
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("doc_id"), pa.array(identity(hashes, counts, at).view(np.int64)),
+                        pa.array([pack(hashes[i:j], counts[i:j]) for i, j in zip(at[:-1], at[1:])], pa.binary())], ["holder", "id", "content"])
+
+        # most rows are left out before the shuffle; of rows with one id the one with the thing's shingles counts
+        few = docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(packed, "holder long, id long, content binary")
+        return few.join(wanted, ["holder", "id"], "left_semi").dropDuplicates(["id"]).select("id", "content")
+
+    classes, links = linked_classes(spark, things.select("id", "sketch", "bands"), contents, alike, SURELY_LESS)
     return rows, classes.select(F.col("id").alias("same"), "label"), links
 
 

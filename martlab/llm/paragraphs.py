@@ -2,15 +2,20 @@
 
 Paragraphs are the lines of a text. Lines of at least `LINE_WORDS` words get MinHash bands tuned for recall; lines that collide
 are compared by exact Jaccard of five-word shingles, and similar ones form components. Equal lines of any length are one thing.
-A passage that starts or ends inside a line is found by its chunks: a line of over `CHUNKED` words is also cut
-after words whose hash is a multiple of 16, so equal passages are cut alike wherever they stand; equal chunks are one thing.
 
-A line or chunk repeats when the first document of its component has a smaller doc_id. Repeating pieces that touch are one passage;
-a passage of `PASSAGE_WORDS` words or more is taken out of the later documents and stays in the first. So short
-common lines stay where they stand alone.
+A passage need not keep to lines. Of every `WINDOW` runs of `SEED` words in a row, over line feeds, the one with the least
+hash is a seed, so any `RUN` equal words hold an equal seed wherever they stand. Round the seeds that stand in several documents all
+runs of `RUN` words are looked up, word by word, so a repeated passage of at least `RUN` words is found in its full length.
+
+A line or run repeats when the first document that holds it, or one of its component, has a smaller doc_id. Repeating words
+that touch are one passage; a passage of `PASSAGE_WORDS` words or more is taken out of the later documents and stays in the
+first. So short common lines stay where they stand alone.
+
+Nothing is compared within a group of equal lines or runs: each has one least doc_id, summed per task before the shuffle.
 
 Defined cases: null, empty and blank texts have no paragraphs and stay as they are; repeats inside one document stay; rows with one id are one
-document; rows without an id stay as they are; further columns are kept; empty input gives no rows.
+document as a source, but each row loses words by its own text; rows without an id stay as they are; further columns are kept; empty input
+gives no rows. Words are compared in lower case by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,21 +26,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import Scratch, build_filter, in_filter, slices
+from .common import Scratch, build_filter, filter_width, in_filter, slices
 from .nearlinks import bands_and_rows, linked_classes
-from .shingles import flat_words, mix, runs, weighted_sets
+from .shingles import PLACE, flat_words, mix, runs, weighted_sets
 
 SIMILARITY = 0.8
-BANDS, ROWS = bands_and_rows(SIMILARITY, 0.999, range(2, 5), most=16)
+BANDS, ROWS = bands_and_rows(SIMILARITY, 0.999, range(2, 4), most=16)
 # five standard deviations of the agreement of two lines at the similarity
 SURELY_LESS = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS)) ** 0.5
-LINE_WORDS = 12
-CHUNKED, CUT = 30, np.uint64(16)
+LINE_WORDS = 9  # below five shingles no other set reaches the similarity
 PASSAGE_WORDS = 30
+RUN, SEED = 40, 16
+WINDOW = RUN - SEED + 1
 _rng = np.random.default_rng(8)
 FACTORS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 TERMS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -59,133 +65,178 @@ def span_sums(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, salt: int
     return mix(total ^ mix(ordered + (stop - start).astype(np.uint64) * np.uint64(2 * salt + 1)))
 
 
-def line_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, bounds by line, and the hash of each line."""
-    words, bounds = flat_words(lines)
-    return words, bounds, span_sums(words, bounds[:-1], bounds[1:], 1)
-
-
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines and chunks of each document by place (words from its start), with bands for the longer lines."""
+class Parts:
+    """Words, lines, seeds and runs of the texts of a batch; places are words from the start of the batch."""
+
+    def __init__(self, texts: pa.Array):
+        self.lines, self.owner = lines_of(texts)
+        self.words, self.bounds = flat_words(self.lines)
+        self.count = np.diff(self.bounds)
+        per_text = np.bincount(self.owner, self.count, len(texts)).astype(np.int64)
+        self.base = np.concatenate([[0], np.cumsum(per_text)])
+        self.line_hash = span_sums(self.words, self.bounds[:-1], self.bounds[1:], 1)
+        self.text_of = np.repeat(np.arange(len(texts)), per_text)
+
+    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of the seeds: of each window of run hashes the least, ties by place."""
+        n = len(self.words) - SEED + 1
+        if n < WINDOW:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        total = np.zeros(n, np.uint64)
+        for i in range(SEED):
+            total += self.words[i:i + n] * PLACE[i]
+        hashes = mix(total)
+        # the place modulo 256 rides in the low bits, so the least value tells where it stands
+        least, width = (hashes & ~np.uint64(255)) | (np.arange(n) & 255).astype(np.uint64), 1
+        while width < WINDOW:
+            step = min(width, WINDOW - width)
+            least, width = np.minimum(least[:-step], least[step:]), width + step
+        start = np.arange(len(least))
+        place = start + (((least & np.uint64(255)).astype(np.int64) - start) & 255)
+        # a window must lie in one text
+        inside = self.text_of[start] == self.text_of[start + RUN - 1]
+        place = np.unique(place[inside])
+        return place, hashes[place]
+
+    def runs_at(self, seeds: np.ndarray) -> np.ndarray:
+        """Places where a run starts that holds one of the seeds and lies in one text."""
+        edge = np.zeros(len(self.words) + 1, np.int64)
+        np.add.at(edge, np.maximum(seeds - (WINDOW - 1), 0), 1)
+        np.add.at(edge, seeds + 1, -1)
+        place = np.flatnonzero(np.cumsum(edge)[:len(self.words)] > 0)
+        place = place[place + RUN <= len(self.words)]
+        return place[self.text_of[place] == self.text_of[place + RUN - 1]]
+
+
+def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Parts]]:
     for batch in batches:
         for part in slices(batch, "text", 2 << 20):
-            lines, owner = lines_of(part.column("text"))
-            words, bounds, hashes = line_hashes(lines)
-            count = np.diff(bounds)
-            base = np.full(part.num_rows, np.iinfo(np.int64).max)
-            np.minimum.at(base, owner, bounds[:-1])
-            long_ = np.flatnonzero(count >= LINE_WORDS)
-            bands, marks = [], np.zeros((0, BANDS * ROWS), np.uint8)
-            if len(long_):
-                keep = np.zeros(len(count), bool)
-                keep[long_] = True
-                word_keep = np.repeat(keep, count)
-                shingles, at = runs(words[word_keep], np.concatenate([[0], np.cumsum(count[long_])]))
-                table = np.empty((len(long_), BANDS), np.uint64)
-                marks = np.empty((len(long_), BANDS * ROWS), np.uint8)
-                for band in range(BANDS):
-                    key = np.full(len(long_), band, np.uint64)
-                    for i in range(band * ROWS, band * ROWS + ROWS):
-                        least = mix(np.minimum.reduceat(shingles * FACTORS[i] + TERMS[i], at[:-1]))
-                        key, marks[:, i] = mix(key + least), (least & np.uint64(255)).astype(np.uint8)
-                    table[:, band] = key
-                bands = table.view(np.int64)
-            # chunks of long lines
-            line_of = np.repeat(np.arange(len(count)), count)
-            ends = (words % CUT == 0)
-            ends[bounds[1:][count > 0] - 1] = True
-            stop = np.flatnonzero(ends & (count[line_of] > CHUNKED)) + 1 if len(words) else np.zeros(0, np.int64)
-            start = np.maximum(np.concatenate([[0], stop[:-1]]), bounds[:-1][line_of[stop - 1]]) if len(stop) else stop
-            chunk_line = line_of[stop - 1] if len(stop) else stop
-            full = np.flatnonzero(count)
-            where = np.concatenate([full, chunk_line])
-            first = np.concatenate([bounds[:-1][full], start])
-            last = np.concatenate([bounds[1:][full], stop])
-            piece = np.concatenate([hashes[full], span_sums(words, start, stop, 2)])
-            sizes = np.where((count[full] >= LINE_WORDS), BANDS, 0)
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate([sizes, np.zeros(len(stop), np.int64)]))]).astype(np.int32)
-            flat = bands.ravel() if len(long_) else np.zeros(0, np.int64)
-            doc = part.column("doc_id").to_numpy(zero_copy_only=False)[owner[where]]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(doc, pa.int64()), pa.array(piece.view(np.int64)), pa.array(first - base[owner[where]]),
-                pa.array(last - base[owner[where]]), pa.ListArray.from_arrays(offsets, flat),
-                pa.array([m.tobytes() for m in marks], pa.binary()).take(
-                    pa.array(np.concatenate([np.cumsum(sizes > 0) - 1, np.zeros(len(stop), np.int64)]),
-                             mask=np.concatenate([sizes == 0, np.ones(len(stop), bool)]))),
-            ], ["doc_id", "piece", "first", "last", "bands", "marks"])
+            yield part, Parts(part.column("text"))
+
+
+def parts_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, low, high): lines and seeds, once for each batch, with the least and greatest doc_id there."""
+    for part, p in texts_in(batches):
+        doc = part.column("doc_id").to_numpy()
+        full = np.flatnonzero(p.count)
+        place, seeds = p.seeds()
+        hashes = np.concatenate([p.line_hash[full], seeds])
+        docs = np.concatenate([doc[p.owner[full]], doc[p.text_of[place]]])
+        order = np.lexsort((docs, hashes))
+        hashes, docs = hashes[order], docs[order]
+        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        end = np.concatenate([new[1:], [len(hashes)]]) - 1 if len(new) else new
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), pa.array(docs[new]), pa.array(docs[end])], ["hash", "low", "high"])
+
+
+def line_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, bands, sketch) of the longer lines, equal ones once for each batch."""
+    for _, p in texts_in(batches):
+        long_ = np.flatnonzero(p.count >= LINE_WORDS)
+        long_ = long_[np.unique(p.line_hash[long_], return_index=True)[1]]
+        long_.sort()
+        if not len(long_):
+            continue
+        keep = np.zeros(len(p.count), bool)
+        keep[long_] = True
+        shingles, at = runs(p.words[np.repeat(keep, p.count)], np.concatenate([[0], np.cumsum(p.count[long_])]))
+        table, marks = np.empty((len(long_), BANDS), np.uint64), np.empty((len(long_), BANDS * ROWS), np.uint8)
+        for band in range(BANDS):
+            key = np.full(len(long_), band, np.uint64)
+            for i in range(band * ROWS, band * ROWS + ROWS):
+                least = mix(np.minimum.reduceat(shingles * FACTORS[i] + TERMS[i], at[:-1]))
+                key, marks[:, i] = mix(key + least), (least & np.uint64(255)).astype(np.uint8)
+            table[:, band] = key
+        yield pa.RecordBatch.from_arrays([
+            pa.array(p.line_hash[long_].view(np.int64)), pa.array([row.tobytes() for row in table], pa.binary()),
+            pa.array([row.tobytes() for row in marks], pa.binary())], ["id", "bands", "sketch"])
+
+
+def alike(a: bytes, b: bytes) -> bool:
+    """Whether the exact Jaccard of two lines' shingle sets reaches the similarity."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= SIMILARITY * (len(x) + len(y) - both)
+
+
+def similar_lines(spark: SparkSession, scratch: Scratch, docs: DataFrame) -> DataFrame:
+    """(id, label): components of similar lines."""
+    things = scratch.write(docs.select("text").mapInArrow(line_bands, "id long, bands binary, sketch binary").dropDuplicates(["id"]))
+
+    def contents(ids: DataFrame) -> DataFrame:
+        wanted = scratch.write(ids)
+        bits = build_filter(wanted, "id", filter_width(wanted.count()))
 
+        def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    lines, _ = lines_of(part.column("text"))
+                    words, bounds = flat_words(lines)
+                    hashes = span_sums(words, bounds[:-1], bounds[1:], 1)
+                    keep = np.flatnonzero(in_filter(bits, hashes) & (np.diff(bounds) >= LINE_WORDS))
+                    keep = keep[np.unique(hashes[keep], return_index=True)[1]]
+                    _, shingles, _, at = weighted_sets(*runs(*flat_words(lines.take(pa.array(keep)))))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(hashes[keep].view(np.int64)),
+                        pa.array([shingles[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())], ["id", "content"])
 
-def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of lines with an exact Jaccard of their shingle sets that reaches the similarity."""
-    for batch in batches:
-        sets = []
-        for name in ("tu", "tv"):
-            _, hashes, _, at = weighted_sets(*runs(*flat_words(batch.column(name))))
-            sets.append([hashes[i:j] for i, j in zip(at[:-1], at[1:])])
-        keep = []
-        for a, b in zip(*sets):
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(both >= SIMILARITY * (len(a) + len(b) - both))
-        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        return docs.select("text").mapInArrow(fetch, "id long, content binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+    classes, _ = linked_classes(spark, things, contents, alike, SURELY_LESS)
+    classes = scratch.write(classes)
+    scratch.drop(things)
+    return classes
 
 
 def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, first, last, source): runs of words to take out, and the documents where their pieces stay."""
+    """(doc_id, text_hash, first, last, source): words to take out of a row, and a document where they stay."""
     scratch = Scratch(spark, "repeats")
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
-        "doc_id IS NOT NULL AND text IS NOT NULL")
-    made = scratch.write(docs.mapInArrow(
-        pieces, "doc_id long, piece long, first long, last long, bands array<long>, marks binary"))
-    units = scratch.write(made.select("doc_id", "piece", "first", "last"))
-    lines = scratch.write(made.where("marks IS NOT NULL").groupBy("piece").agg(
-        F.first("bands").alias("bands"), F.first("marks").alias("marks")))
-    scratch.drop(made)
-    bands = lines.select(F.posexplode("bands").alias("band", "hash"), F.col("piece").alias("id")).select(
-        F.xxhash64("band", "hash").alias("bucket"), "id")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = scratch.write(pairs.select(F.explode(F.array("u", "v")).alias("piece")).distinct())
-        bits = build_filter(wanted, "piece")
-
-        def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    lines, _ = lines_of(part.column("text"))
-                    _, bounds, hashes = line_hashes(lines)
-                    keep = in_filter(bits, hashes) & (np.diff(bounds) >= LINE_WORDS)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[keep].view(np.int64)), lines.filter(pa.array(keep))], ["piece", "line"])
-
-        texts = scratch.write(docs.select("text").mapInArrow(fetch, "piece long, line string")
-                              .join(wanted, "piece", "left_semi").dropDuplicates(["piece"]))
-        tu, tv = (texts.select(F.col("piece").alias(x), F.col("line").alias(f"t{x}")) for x in "uv")
-        return pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(similar, "u long, v long")
-
-    classes, _ = linked_classes(
-        spark, bands, verify, lines.select(F.col("piece").alias("id"), F.col("marks").alias("sketch")), SURELY_LESS)
-    scratch.drop(lines)
-    firsts = scratch.write(units.groupBy("piece").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-                           .join(classes.withColumnRenamed("id", "piece"), "piece", "left")
-                           .where("least < most OR label IS NOT NULL"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    classes = similar_lines(spark, scratch, docs)
+    again = scratch.write(docs.mapInArrow(parts_held, "hash long, low long, high long").groupBy("hash").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("hash"))
+    wanted = scratch.write(again.unionByName(classes.select(F.col("id").alias("hash"))))
+    bits = build_filter(wanted, "hash", filter_width(wanted.count()))
+    scratch.drop(again)
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, p in texts_in(batches):
+            full = np.flatnonzero(p.count)
+            full = full[in_filter(bits, p.line_hash[full])]
+            place, seeds = p.seeds()
+            at = p.runs_at(place[in_filter(bits, seeds)])
+            of = np.concatenate([p.owner[full], p.text_of[at]]).astype(np.int64)
+            first = np.concatenate([p.bounds[:-1][full], at])
+            last = np.concatenate([p.bounds[1:][full], at + RUN])
+            hashes = np.concatenate([p.line_hash[full], span_sums(p.words, at, at + RUN, 2)])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(hashes.view(np.int64)), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
+                pa.array((first - p.base[of]).astype(np.int32)), pa.array((last - p.base[of]).astype(np.int32))],
+                ["hash", "doc_id", "text_hash", "first", "last"])
+
+    found = scratch.write(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        units, "hash long, doc_id long, text_hash long, first int, last int"))
+    firsts = scratch.write(found.groupBy("hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+                           .join(classes.withColumnRenamed("id", "hash"), "hash", "left").where("least < most OR label IS NOT NULL"))
     heads = firsts.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("head"))
-    sources = firsts.join(heads, "label", "left").select("piece", F.coalesce("head", "least").alias("source"))
-    return (units.join(sources, "piece").where("source < doc_id")
-            .select("doc_id", "first", "last", "source").distinct())
+    sources = firsts.join(heads, "label", "left").select("hash", F.coalesce("head", "least").alias("source"))
+    return found.join(sources, "hash").where("source < doc_id").select("doc_id", "text_hash", "first", "last", "source")
 
 
 def passages(found: DataFrame) -> DataFrame:
-    """(doc_id, spans, sources): the passages of each document, repeating pieces that touch or overlap being one."""
-    joined = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("first", "last"))), F.array().cast("array<struct<first:long,last:long>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["first"] <= F.try_element_at(done, F.lit(-1))["last"]),
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(
-                F.try_element_at(done, F.lit(-1))["first"].alias("first"),
-                F.greatest(F.try_element_at(done, F.lit(-1))["last"], x["last"]).alias("last")))))
-        .otherwise(F.concat(done, F.array(x))))
-    return (found.groupBy("doc_id").agg(joined.alias("spans"), F.sort_array(F.collect_set("source")).alias("sources"))
-            .withColumn("spans", F.filter("spans", lambda s: s["last"] - s["first"] >= PASSAGE_WORDS))
-            .where("size(spans) > 0"))
+    """(doc_id, text_hash, spans, sources): the passages of each row, repeating words that touch or overlap being one."""
+    row = ["doc_id", "text_hash"]
+    spans = found.groupBy(*row, "first").agg(F.max("last").alias("last"), F.min("source").alias("source"))
+    inside = Window.partitionBy(*row).orderBy("first")
+    before = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("new", F.when(F.col("first") <= before, 0).otherwise(1))
+    merged = (opened.withColumn("n", F.sum("new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*row, "n").agg(F.min("first").cast("long").alias("first"), F.max("last").cast("long").alias("last"),
+                                      F.collect_set("source").alias("of"))
+              .where(F.col("last") - F.col("first") >= PASSAGE_WORDS))
+    return merged.groupBy(*row).agg(
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("of")))).alias("sources"))
 
 
 def take_out(text: str, first: list[int], last: list[int]) -> str:
@@ -219,8 +270,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """`docs` with repeated passages taken out of `text`; all columns and rows stay."""
     scratch = Scratch(spark, "passages")
     found = scratch.write(passages(repeats(spark, docs)).select(
-        F.col("doc_id").alias("_id"), F.col("spans.first").alias("_first"), F.col("spans.last").alias("_last")))
-    joined = docs.join(found, docs["doc_id"] == found["_id"], "left")
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans.first").alias("_first"), F.col("spans.last").alias("_last")))
+    joined = docs.join(found, (docs["doc_id"] == found["_id"]) & (F.xxhash64(docs["text"].cast("string")) == found["_hash"]), "left")
     changed = F.when(F.col("_first").isNotNull(), without("text", "_first", "_last")).otherwise(F.col("text"))
     return joined.select(*[changed.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
@@ -229,7 +280,7 @@ def op8_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that loses passages: words and spans taken out, documents that keep them, and what is left."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     found = Scratch(spark, "passages").write(passages(repeats(spark, docs)))
-    return docs.join(found, "doc_id").select(
+    return docs.withColumn("text_hash", F.xxhash64("text")).join(found, ["doc_id", "text_hash"]).select(
         "doc_id",
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"]).alias("n_removed"),
         F.size("spans").alias("n_spans"), "sources",

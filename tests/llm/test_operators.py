@@ -280,26 +280,30 @@ def test_near_dedup_returns_class_ids_only(spark):
     assert near_dedup.op7_probminhash_near_dedup(spark, FOLDER).columns == ["doc_id", "class_id"]
 
 
-def test_links_reach_across_a_bucket(spark):
+def test_links_reach_across_a_bucket(spark, monkeypatch):
     # 1 and 2 share a bucket with 0 but are like each other only; 3-4 chain through another bucket
-    bands = spark.createDataFrame([(1, 0), (1, 1), (1, 2), (2, 2), (2, 3), (3, 3), (3, 4), (4, 9)], "bucket long, id long")
-    like = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "u long, v long")
-    classes, links = linked_classes(spark, bands, lambda pairs: pairs.join(like, ["u", "v"], "left_semi"),
-                                    bands.select("id", F.lit(b"same").alias("sketch")).distinct(), 0.5)
+    monkeypatch.setattr(nearlinks, "TILE", 2)
+    buckets = {0: [1, 91], 1: [1, 92], 2: [1, 2], 3: [3, 2], 4: [3, 94], 9: [95, 96]}
+    like = {(1, 2), (2, 3), (3, 4)}
+    things = spark.createDataFrame([(i, b"same", np.array(b, np.int64).tobytes()) for i, b in buckets.items()], "id long, sketch binary, bands binary")
+    classes, links = linked_classes(spark, things, lambda ids: ids.select("id", F.col("id").cast("string").cast("binary").alias("content")),
+                                    lambda a, b: tuple(sorted((int(a), int(b)))) in like, 0.5)
     assert dict(map(tuple, classes.collect())) == {1: 1, 2: 1, 3: 1, 4: 1} and links.count() == 3
 
 
-def test_sketch_pairs_across_batches():
+def test_tiles_find_the_links_of_all_pairs():
     import pyarrow as pa
 
     rng = np.random.default_rng(7)
     key = np.sort(rng.integers(0, 6, 80))
     ids, labels, sketch = np.arange(80), rng.integers(0, 4, 80), rng.integers(0, 2, (80, 8)).astype(np.uint8)
-    rows = pa.table({"key": key, "id": ids, "label": labels, "sketch": pa.array([x.tobytes() for x in sketch], pa.binary())})
-    got = [tuple(r.values()) for b in nearlinks.sketch_pairs(0.7)(iter(rows.to_batches(max_chunksize=7))) for r in b.to_pylist()]
-    want = [(i, j) for i in range(80) for j in range(i + 1, 80)
-            if key[i] == key[j] and labels[i] != labels[j] and (sketch[i] == sketch[j]).mean() >= 0.7]
-    assert sorted(got) == want
+    bands = np.stack([rng.integers(0, 9, 80), key + 100], 1)  # band 1 is the bucket at hand
+    rows = pa.table({"key": key, "band": np.ones(80, np.int64), "id": ids, "label": labels, "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()),
+                     "bands": pa.array([x.tobytes() for x in bands], pa.binary()), "content": pa.array([bytes([i]) for i in ids], pa.binary())})
+    got = nearlinks.compare_tiles(0.6, lambda a, b: (a[0] + b[0]) % 3 > 0)(rows.take(rng.permutation(80)))
+    want = [(i, j) for i in range(80) for j in range(i + 1, 80) if key[i] == key[j] and labels[i] != labels[j] and (i + j) % 3
+            and (sketch[i] == sketch[j]).mean() >= 0.6 and bands[i, 0] != bands[j, 0]]
+    assert sorted(zip(got["u"].to_pylist(), got["v"].to_pylist())) == want and want
 
 
 def test_components(spark):
@@ -340,6 +344,54 @@ def test_passages(spark):
     assert paragraphs.remove_repeats(spark, frame(spark, [])).count() == 0
 
 
+def repeated_words(texts, least):
+    """For each text the words inside a run of `least` words that also stands in a text of smaller id."""
+    seen, gone = {}, {}
+    for i, text in sorted(texts):
+        parts = text.lower().split()
+        runs_ = [tuple(parts[j:j + least]) for j in range(len(parts) - least + 1)]
+        gone[i] = {j + x for j, r in enumerate(runs_) if seen.get(r, i) < i for x in range(least)}
+        for r in runs_:
+            seen.setdefault(r, i)
+    return gone
+
+
+def test_passages_inside_lines_equal_brute_force(spark):
+    rng = np.random.default_rng(17)
+    pool = words(30, 400)
+    own = lambda n: list(rng.choice(pool, n))
+    shared = [own(int(n)) for n in rng.integers(50, 100, 12)]
+    texts = []
+    for i in range(40):
+        parts = own(int(rng.integers(5, 60)))
+        for k in rng.choice(12, 2, replace=False):
+            parts += shared[k] + own(int(rng.integers(1, 60)))
+        breaks = rng.random(len(parts)) < 0.03  # line feeds anywhere, also inside a passage
+        texts.append((i, "".join(w + ("\n" if b else " ") for w, b in zip(parts, breaks))))
+    want = repeated_words(texts, paragraphs.RUN)
+    got = {r.doc_id: {w for s in r.spans for w in range(s["first"], s["last"])} for r in paragraphs.passages(paragraphs.repeats(spark, frame(spark, texts))).collect()}
+    assert sum(map(len, want.values())) > 1500
+    shingles = lambda line: {tuple(line[j:j + 5]) for j in range(max(len(line) - 4, 1))}
+    like = lambda a, b: a == b or (min(len(a), len(b)) >= paragraphs.LINE_WORDS and
+                                   len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)))
+    for i, text in texts:
+        assert want[i] <= got.get(i, set())
+        # beyond the runs only whole lines that an earlier document has, or has a similar one of
+        place, lined = 0, set()
+        for line in (x.split() for x in text.split("\n")):
+            if any(like(line, other.split()) for j, t in texts[:i] for other in t.split("\n")):
+                lined |= set(range(place, place + len(line)))
+            place += len(line)
+        assert got.get(i, set()) <= want[i] | lined
+
+
+def test_rows_that_share_an_id_lose_their_own_words(spark):
+    passage, a, b = " ".join(words(50, 60)), " ".join(words(51, 70)), " ".join(words(52, 70))
+    texts = [(1, passage), (2, passage + " " + a), (2, b + " " + passage), (2, b)]
+    got = sorted(r.text for r in paragraphs.remove_repeats(spark, frame(spark, texts)).collect())
+    assert got == sorted([passage, a, b, b])
+
+
 # quality
 
 def kneser_ney(trusted, texts):
