@@ -4,7 +4,9 @@ The model is trained on trusted text, the documents labelled good and not toxic.
 table), and each block lists its distinct n-grams with their counts in trusted text. Counts, continuation counts and context
 totals are tables joined on the n-gram, sharded by it; discounts come from counts of counts. The log probabilities of a block's n-grams come
 back to the block, where each document's perplexity is summed. A document is rejected when its perplexity exceeds its language's threshold:
-a high quantile of the language's trusted documents, times a margin. For the quantiles each trusted document is scored by a model without its fold
+a high quantile of the language's trusted documents, times a margin. The perplexity of n bytes is uncertain by a factor of about exp(noise / sqrt(n)), the
+noise being measured on the trusted documents; quantiles are taken of lower bounds and thresholds are raised by the same factor, `DEVIATIONS`
+times, so that a few very short texts do not set the level for all, and are not rejected for their length either. For the quantiles each trusted document is scored by a model without its fold
 (texts are dealt into `FOLDS` by their hash, so copies share one), as documents without a label are scored by a model that has not seen them.
 
 Every document is scored in full, and counts, quantiles and thresholds cover all rows.
@@ -32,6 +34,7 @@ from .shingles import buffers
 ORDER = 5
 QUANTILE = 0.98
 MARGIN = 1.1
+DEVIATIONS = 2
 FOLDS = 8
 WHOLE = -1  # stands in `fold` for the model of all trusted text
 PIECE = 4 << 20
@@ -105,10 +108,10 @@ def score(docs: pa.Table, logs: pa.Table) -> pa.Table:
             total = np.concatenate([[0.0], np.cumsum(np.nan_to_num(each))])[bounds]
             sums.append(pa.array(total[1:] - total[:-1], mask=lacks[1:] > lacks[:-1]))
         out.append(pa.table({
-            "doc_id": part.column("doc_id"), "lang": part.column("lang"),
+            "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "lang": part.column("lang"),
             "n_bytes": pa.array(np.diff(bounds)), "logp": sums[0], "unseen": sums[1]}))
     return pa.concat_tables(out) if out else pa.table({
-        "doc_id": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "n_bytes": pa.array([], pa.int64()),
+        "doc_id": pa.array([], pa.int64()), "text_hash": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "n_bytes": pa.array([], pa.int64()),
         "logp": pa.array([], pa.float64()), "unseen": pa.array([], pa.float64())})
 
 
@@ -183,24 +186,26 @@ def probabilities(scratch: Scratch, listed: DataFrame) -> DataFrame:
 
 
 def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, unseen) of every row of `docs`, the model being trained on the ids in `trusted`.
+    """(doc_id, text_hash, lang, n_bytes, perplexity, unseen) of every row of `docs`, the model being trained on the ids in `trusted`.
 
     `unseen` is the perplexity of a trusted row under the model without the row's fold.
     """
     scratch = Scratch(spark, "perplexity")
-    fold = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(FOLDS)).cast("long").alias("fold")
-    blocks = Blocks(spark, docs, F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), fold)
+    hashed = F.xxhash64(F.col("text").cast("string"))
+    fold = F.pmod(hashed, F.lit(FOLDS)).cast("long").alias("fold")
+    blocks = Blocks(spark, docs, F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), fold,
+                    hashed.alias("text_hash"))
     parts = blocks.read().groupBy("block")
     mine = trusted.select(blocks.of("doc_id"), "doc_id").groupBy("block")
     listed = scratch.write(parts.cogroup(mine).applyInArrow(list_grams, "block long, gram long, fold long, n long"))
     logs = listed.select("block", "gram", "fold").join(probabilities(scratch, listed), ["gram", "fold"]).select(
         "block", "gram", "fold", "logp")
     scores = scratch.write(parts.cogroup(logs.groupBy("block")).applyInArrow(
-        score, "doc_id long, lang string, n_bytes long, logp double, unseen double"))
+        score, "doc_id long, text_hash long, lang string, n_bytes long, logp double, unseen double"))
     blocks.close()
     perplexity = lambda c: F.when(F.col("n_bytes") > 0, F.exp(-F.col(c) / F.col("n_bytes")))
     return (scores.join(trusted.select("doc_id", F.lit(True).alias("known")), "doc_id", "left")
-            .select("doc_id", "lang", "n_bytes", perplexity("logp").alias("perplexity"),
+            .select("doc_id", "text_hash", "lang", "n_bytes", perplexity("logp").alias("perplexity"),
                     F.when(F.col("known"), perplexity("unseen")).alias("unseen")))
 
 
@@ -212,25 +217,32 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
           margin: float = MARGIN) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, threshold, keep) for every row of `docs`."""
-    trusted = Scratch(spark, "trusted").write(trusted_ids(labels))
-    scores = perplexities(spark, docs, trusted)
-    good = scores.where("unseen IS NOT NULL")
-    level = F.percentile_approx("unseen", quantile, 10000)
+    """(doc_id, text_hash, lang, n_bytes, perplexity, threshold, keep) for every row of `docs`."""
+    scratch = Scratch(spark, "trusted")
+    scores = scratch.write(perplexities(spark, docs, scratch.write(trusted_ids(labels))))
+    good = scores.where("unseen IS NOT NULL").withColumn("log", F.log("unseen"))
+    middle = good.groupBy("lang").agg(F.percentile_approx("log", 0.5, 10000).alias("middle"))
+    away = F.abs(F.col("log") - F.col("middle")) * F.sqrt("n_bytes")
+    typical = good.join(middle, good["lang"].eqNullSafe(middle["lang"])).agg(F.percentile_approx(away, 0.5, 10000).alias("d")).first()["d"]
+    # the median distance from the middle is 0.6745 standard deviations
+    noise = F.exp(F.lit(DEVIATIONS * (typical or 0.0) / 0.6745) / F.sqrt("n_bytes"))
+    level = F.percentile_approx(F.col("unseen") / noise, quantile, 10000)
     by_lang = good.where("lang IS NOT NULL").groupBy("lang").agg((level * margin).alias("own"))
     overall = (good.agg(level.alias("q")).first()["q"] or math.inf) * margin
     return (scores.join(by_lang, "lang", "left")
-            .withColumn("threshold", F.coalesce("own", F.lit(overall)))
-            .select("doc_id", "lang", "n_bytes", "perplexity", "threshold",
+            .withColumn("threshold", F.coalesce("own", F.lit(overall)) * F.when(F.col("n_bytes") > 0, noise).otherwise(1.0))
+            .select("doc_id", "text_hash", "lang", "n_bytes", "perplexity", "threshold",
                     F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("keep")))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of `docs`, with all their columns, that are not rejected; rows without an id go if their text is empty."""
-    bad = Scratch(spark, "rejected").write(judge(spark, docs, labels).where("NOT keep").select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Rows of `docs`, with all their columns, that are not rejected; each row goes by its own text, also without an id or with a shared one."""
+    bad = Scratch(spark, "rejected").write(judge(spark, docs, labels).where("NOT keep").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    row = docs["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_hash"])
+    return docs.join(bad, row, "left_anti").select(docs.columns)
 
 
 def op1_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Perplexity, threshold and decision for every document."""
-    return judge(spark, spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    return judge(spark, spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")).drop("text_hash")

@@ -443,6 +443,9 @@ def test_quality_decisions(spark):
     kept = quality.keep_good(spark, frame(spark, [(1, None), (2, ""), (3, "some text"), (None, "x")], True), labels.limit(0))
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, None], key=str)
     assert quality.judge(spark, docs.limit(0), labels).count() == 0
+    # each row by its own text: an empty one does not take a good one of its id along, and goes without an id as well
+    rows = quality.keep_good(spark, frame(spark, [(7, "good text"), (7, ""), (None, None), (None, "x")], True), labels.limit(0))
+    assert sorted(((r.doc_id, r.text) for r in rows.collect()), key=str) == sorted([(7, "good text"), (None, "x")], key=str)
 
 
 def test_thresholds_are_out_of_sample(spark, real):
