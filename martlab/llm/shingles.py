@@ -105,6 +105,17 @@ def runs(hashes: np.ndarray, bounds: np.ndarray, short: bool = True) -> tuple[np
     return mix(total), out_bounds
 
 
+def word_runs(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `n` < 5 words and the text of each; a text of n words has the same hash in `runs`."""
+    first = np.arange(max(len(hashes) - n + 1, 0))
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    first = first[owner[first] == owner[first + n - 1]]
+    total = np.zeros(len(first), np.uint64)
+    for i in range(n):
+        total += hashes[first + i] * PLACE[i]
+    return mix(total), owner[first]
+
+
 def weighted_sets(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, hash) pairs in order: owner, hash, count, and bounds by text."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
