@@ -2,13 +2,15 @@
 
 Pivots are spread by farthest-first over a bounded sample of vectors; every vector goes to its nearest pivot, and a pivot's vectors are cut into blocks of bounded
 size. A query is searched in one block of its own pivot first; its kth score there bounds the rest: other pivots are visited only if centre and radius
-allow a score that is not worse. In a block, queries and vectors are each put in a cover tree (every child's radius is at most half its parent's), and
+allow a score that is not worse. In a block, queries and vectors are each put in a cover tree: a node's points go to the nearest of its heads, added farthest
+first until all are within half its radius or an eighth of the points are heads, and each child keeps its own covering radius. Then
 pairs of nodes are left out when their centres and radii cannot reach the worst kth score of the query node. Only what cannot hold an answer is pruned.
 
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no part; shorter vectors count as if filled with zeros; rows may
 repeat and every row is a candidate; rows with the query's own vec_id are not its candidates;
 queries with one vec_id are one query, with the least of their vectors; a null vec_id takes no part; equal scores are ordered by vec_id; with
-fewer candidates than k all are returned; further columns are ignored; empty input gives no rows.
+fewer candidates than k all are returned; scores are whole numbers of 64 bits without rounding, and vectors so long that a score could leave them are
+refused; further columns are ignored; empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ SAMPLE = 2048  # the most vectors the driver sees
 BLOCK_ROWS = 4096
 LEAF = 64
 SLACK = 1e-3
+RELATIVE = 1e-12  # bounds the rounding of sums of products in doubles, as a share of the product of the norms
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -78,13 +81,18 @@ class CoverTree:
 
 def bound(q: CoverTree, node: int, x: CoverTree, nodes: np.ndarray) -> np.ndarray:
     """The most any query of a node can score with any point of each of some data nodes."""
-    return (x.c[nodes] @ q.c[node] + q.r[node] * x.norm[nodes] + x.r[nodes] * q.norm[node] + q.r[node] * x.r[nodes]) + SLACK
+    most = x.c[nodes] @ q.c[node] + q.r[node] * x.norm[nodes] + x.r[nodes] * q.norm[node] + q.r[node] * x.r[nodes]
+    return most + SLACK + RELATIVE * (q.norm[node] + q.r[node]) * (x.norm[nodes] + x.r[nodes])
 
 
 def dual_search(queries: np.ndarray, data: np.ndarray, worst: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query rows, data rows, scores) of all node pairs that may hold a score of at least each query's `worst`."""
     q, x = CoverTree(queries, 16), CoverTree(data)
-    exact = np.abs(queries).max(initial=0).astype(float) * np.abs(data).max(initial=0) * data.shape[1] < 2.0 ** 53
+    most = float(np.abs(queries).max(initial=0)) * float(np.abs(data).max(initial=0)) * data.shape[1]
+    if most >= 2.0 ** 62:
+        raise ArithmeticError("vectors are too long for scores of 64 bits")
+    # doubles are faster, and exact up to 2 ** 53
+    exact = most < 2.0 ** 53
     left, right = (queries.astype(np.float64), data.astype(np.float64)) if exact else (queries, data)
 
     def visit(node: int, frontier: np.ndarray):
@@ -105,7 +113,8 @@ def dual_search(queries: np.ndarray, data: np.ndarray, worst: np.ndarray) -> Ite
         elif closed:
             rows = np.concatenate([x.points[n] for n in closed])
             mine = q.points[node]
-            yield mine, rows, np.rint(left[mine] @ right[rows].T).astype(np.int64)
+            scores = left[mine] @ right[rows].T
+            yield mine, rows, np.rint(scores).astype(np.int64) if exact else scores
 
     if len(queries) and len(data):
         yield from visit(0, np.zeros(1, np.int64))
@@ -116,7 +125,8 @@ def best_in_block(k: int, width: int, queries: pa.Table, data: pa.Table) -> pa.T
     out = {"query_id": [], "vec_id": [], "score": []}
     if queries.num_rows and data.num_rows:
         qid, vid = queries.column("query_id").to_numpy(), data.column("vec_id").to_numpy()
-        worst = queries.column("worst").to_numpy().astype(np.float64)
+        # a score in doubles may be rounded upwards
+        worst = np.nextafter(queries.column("worst").to_numpy().astype(np.float64), -np.inf)
         for mine, rows, scores in dual_search(matrix(queries.column("q"), width), matrix(data.column("v"), width), worst):
             order = np.argsort(vid[rows], kind="stable")
             rows, scores = rows[order], scores[:, order]
@@ -164,7 +174,8 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k:
                 (x ** 2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots ** 2).sum(1)[None], 0))
             near = apart.argmin(1)
             yield pa.RecordBatch.from_arrays([
-                batch.column("vec_id"), batch.column("v"), pa.array(near), pa.array(apart[np.arange(len(x)), near])],
+                # the squares above may cancel, so the distance itself is taken anew
+                batch.column("vec_id"), batch.column("v"), pa.array(near), pa.array(np.linalg.norm(x - pivots[near], axis=1))],
                 ["vec_id", "v", "pivot", "apart"])
 
     schema = "vec_id long, v array<long>, pivot long, apart double"
@@ -173,7 +184,7 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k:
     blocks = {r["pivot"]: -(-r["n"] // BLOCK_ROWS) for r in about}
     radius = np.full(len(pivots), -1.0)
     for r in about:
-        radius[r["pivot"]] = r["radius"] + SLACK
+        radius[r["pivot"]] = r["radius"] * (1 + RELATIVE) + SLACK
     count = F.element_at(F.create_map(*[F.lit(int(x)) for pair in blocks.items() for x in pair]), F.col("pivot").cast("int"))
     data = scratch.write(placed.withColumn("part", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), count))
                          .select("pivot", "part", "vec_id", "v"))
@@ -199,8 +210,9 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k:
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = matrix(batch.column("q"), width).astype(np.float64)
-            most = q @ pivots.T + np.linalg.norm(q, axis=1)[:, None] * radius[None] + SLACK
-            worst = batch.column("worst").to_numpy(zero_copy_only=False)
+            long_ = np.linalg.norm(q, axis=1)[:, None]
+            most = q @ pivots.T + long_ * radius[None] + SLACK + RELATIVE * long_ * np.linalg.norm(pivots, axis=1)[None]
+            worst = np.nextafter(batch.column("worst").to_numpy(zero_copy_only=False), -np.inf)
             row, pivot = np.nonzero((most >= worst[:, None]) & (radius[None] >= 0))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(pa.array(row)) for c in ("query_id", "q", "worst", "home")), pa.array(pivot)],

@@ -238,3 +238,45 @@ def test_codes_edges(spark):
     assert empty.rows().collect() == []
     with pytest.raises(Exception, match="beyond"):
         codes.VectorCodes(spark, vectors(spark, [(1, [1e6] * 8, 1)]))
+
+
+# short benchmark items
+
+
+def test_short_items_are_found(spark):
+    from martlab.llm.decontaminate import contained_items
+
+    texts = [(1, "One two three four"), (2, "say one  two three four and go"), (3, "one two"), (4, "two one three four one two five three four"),
+             (5, "x " * 3000 + "one\ntwo three four"), (6, None), (7, "one")]
+    items = [(1, "one two three four"), (2, "one two"), (3, "ONE"), (4, ""), (5, None), (6, "one two three four five")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contained_items(spark, docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    lists = [(d, (t or "").lower().split()) for d, t in texts]
+    want = {(d, i) for d, w in lists for i, t in items if 0 < len(q := (t or "").lower().split()) < 5 and any(w[j:j + len(q)] == q for j in range(len(w)))}
+    assert got == want and len(want) == 14
+
+
+# exact top-k at large norms
+
+
+@pytest.mark.parametrize("size", [1, 10 ** 3, 10 ** 6, 10 ** 8])
+def test_top_k_is_exact_at_any_norm(spark, size):
+    from martlab.llm.topk import exact_top_k
+
+    rng = np.random.default_rng(size % 97)
+    x = np.rint(size * (rng.integers(0, 4, (400, 1)) + rng.normal(0, 1e-4, (400, 8)))).astype(np.int64)
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, v array<long>")
+    got = [tuple(r) for r in exact_top_k(spark, vectors, vectors.where("vec_id % 20 = 0"), 5).collect()]
+    want = []
+    for q in range(0, 400, 20):
+        scores = sorted((-sum(a * b for a, b in zip(x[q].tolist(), x[i].tolist())), i) for i in range(400) if i != q)
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:5], 1)]
+    assert sorted(got) == want
+
+
+def test_top_k_refuses_what_64_bits_cannot_hold(spark):
+    from martlab.llm.topk import exact_top_k
+
+    vectors = spark.createDataFrame([(i, [4 * 10 ** 9] * 4) for i in range(3)], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="too long"):
+        exact_top_k(spark, vectors, vectors, 2).collect()
