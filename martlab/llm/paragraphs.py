@@ -4,8 +4,10 @@ Paragraphs are the lines of a text. Lines of at least `LINE_WORDS` words get Min
 are compared by exact Jaccard of five-word shingles, and similar ones form components. Equal lines of any length are one thing.
 
 A passage need not keep to lines. Of every `WINDOW` runs of `SEED` words in a row, over line feeds, the one with the least
-hash is a seed, so any `RUN` equal words hold an equal seed wherever they stand. Round the seeds that stand in several documents all
-runs of `RUN` words are looked up, word by word, so a repeated passage of at least `RUN` words is found in its full length.
+hash is a seed, so any `RUN` equal words hold an equal seed wherever they stand. From one seed that stands in several documents to the next
+the words between are one span, which repeats or not; at seeds where the span to a neighbour does not repeat, all
+runs of `RUN` words round the seed are looked up, word by word. So a repeated passage of at least `RUN` words is found in its full length, and the inside
+of a long one costs a row for each span only.
 
 A line or run repeats when the first document that holds it, or one of its component, has a smaller doc_id. Repeating words
 that touch are one passage; a passage of `PASSAGE_WORDS` words or more is taken out of the later documents and stays in the
@@ -98,6 +100,11 @@ class Parts:
         place = np.unique(place[inside])
         return place, hashes[place]
 
+    def spans(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the first seed, start, stop) from each seed to the next one of its text that begins within a window."""
+        at = np.flatnonzero((np.diff(seeds) <= WINDOW) & (self.text_of[seeds[:-1]] == self.text_of[seeds[1:]])) if len(seeds) else seeds
+        return at, seeds[at], seeds[at + 1] + SEED if len(at) else at
+
     def runs_at(self, seeds: np.ndarray) -> np.ndarray:
         """Places where a run starts that holds one of the seeds and lies in one text."""
         edge = np.zeros(len(self.words) + 1, np.int64)
@@ -199,28 +206,55 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     bits = build_filter(wanted, "hash", filter_width(wanted.count()))
     scratch.drop(again)
 
+    rows = docs.withColumn("text_hash", F.xxhash64("text"))
+    schema = "hash long, doc_id long, text_hash long, first int, last int"
+
+    def batch_of(part: pa.RecordBatch, p: Parts, hashes: np.ndarray, of: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(hashes.view(np.int64)), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
+            pa.array((first - p.base[of]).astype(np.int32)), pa.array((last - p.base[of]).astype(np.int32))],
+            ["hash", "doc_id", "text_hash", "first", "last"])
+
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines that may repeat and the spans between seeds that may."""
         for part, p in texts_in(batches):
             full = np.flatnonzero(p.count)
             full = full[in_filter(bits, p.line_hash[full])]
             place, seeds = p.seeds()
-            at = p.runs_at(place[in_filter(bits, seeds)])
-            of = np.concatenate([p.owner[full], p.text_of[at]]).astype(np.int64)
-            first = np.concatenate([p.bounds[:-1][full], at])
-            last = np.concatenate([p.bounds[1:][full], at + RUN])
-            hashes = np.concatenate([p.line_hash[full], span_sums(p.words, at, at + RUN, 2)])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(hashes.view(np.int64)), part.column("doc_id").take(pa.array(of)), part.column("text_hash").take(pa.array(of)),
-                pa.array((first - p.base[of]).astype(np.int32)), pa.array((last - p.base[of]).astype(np.int32))],
-                ["hash", "doc_id", "text_hash", "first", "last"])
-
-    found = scratch.write(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        units, "hash long, doc_id long, text_hash long, first int, last int"))
-    firsts = scratch.write(found.groupBy("hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-                           .join(classes.withColumnRenamed("id", "hash"), "hash", "left").where("least < most OR label IS NOT NULL"))
-    heads = firsts.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("head"))
-    sources = firsts.join(heads, "label", "left").select("hash", F.coalesce("head", "least").alias("source"))
-    return found.join(sources, "hash").where("source < doc_id").select("doc_id", "text_hash", "first", "last", "source")
+            _, start, stop = p.spans(place[in_filter(bits, seeds)])
+            yield batch_of(part, p, np.concatenate([p.line_hash[full], span_sums(p.words, start, stop, 2)]),
+                           np.concatenate([p.owner[full], p.text_of[start]]).astype(np.int64),
+                           np.concatenate([p.bounds[:-1][full], start]), np.concatenate([p.bounds[1:][full], stop]))
+
+    coarse = scratch.write(rows.mapInArrow(units, schema))
+    ends = lambda df: df.groupBy("hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    found = scratch.write(ends(coarse))
+    held, alone = found.where("least < most"), found.where("least = most")
+    # a filter never misses what is in it, so every span that does not repeat is known; a few more may look alike
+    open_ = build_filter(alone, "hash", filter_width(alone.count()))
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All runs round seeds that have no repeating span on one side."""
+        for part, p in texts_in(batches):
+            place, seeds = p.seeds()
+            place = place[in_filter(bits, seeds)]
+            at, start, stop = p.spans(place)
+            same = at[~in_filter(open_, span_sums(p.words, start, stop, 2))]
+            sides = np.zeros(len(place), np.int64)
+            sides[same] += 1
+            sides[same + 1] += 1
+            run = p.runs_at(place[sides < 2])
+            yield batch_of(part, p, span_sums(p.words, run, run + RUN, 3), p.text_of[run].astype(np.int64), run, run + RUN)
+
+    fine = scratch.write(rows.mapInArrow(edges, schema))
+    # a component stays in the document that has any of its lines first
+    named = found.join(classes.withColumnRenamed("id", "hash"), "hash")
+    heads = named.groupBy("label").agg(F.min("least").alias("source"))
+    of_lines = scratch.write(named.join(heads, "label").select("hash", "source"))
+    exact = held.select("hash", F.col("least").alias("source")).join(of_lines, "hash", "left_anti")
+    sources = exact.unionByName(of_lines)
+    later = lambda df, sources: df.join(sources, "hash").where("source < doc_id").select("doc_id", "text_hash", "first", "last", "source")
+    return later(coarse, sources).unionByName(later(fine, ends(fine).where("least < most").select("hash", F.col("least").alias("source"))))
 
 
 def passages(found: DataFrame) -> DataFrame:
