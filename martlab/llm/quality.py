@@ -1,9 +1,11 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of byte n-grams.
 
 The model is trained on trusted text, the documents labelled good and not toxic. Documents are cut into blocks (a bucketed
-table), and each block lists its distinct n-grams with their counts in trusted text. Counts, continuation counts and context
-totals are tables joined on the n-gram, sharded by it; discounts come from counts of counts. The log probabilities of a block's n-grams come
-back to the block, where each document's perplexity is summed. A document is rejected when its perplexity exceeds its language's threshold:
+table), and each block lists its distinct n-grams with their counts in trusted text: one row for each shard, with sorted numbers packed
+as bytes, so that a listed n-gram takes two or three bytes and not a row. An n-gram's shard goes by the two bytes before its last, so counts, continuation counts
+and context totals of three bytes or more are found within a shard; the shorter n-grams, 65,536 at most, are summed over all shards and known to each.
+Discounts come from counts of counts. The log probabilities of a block's n-grams come
+back to the block, in the order of its list, where each document's perplexity is summed. A document is rejected when its perplexity exceeds its language's threshold:
 a high quantile of the language's trusted documents, times a margin. The perplexity of n bytes is uncertain by a factor of about exp(noise / sqrt(n)), the
 noise being measured on the trusted documents; quantiles are taken of lower bounds and thresholds are raised by the same factor, `DEVIATIONS`
 times, so that a few very short texts do not set the level for all, and are not rejected for their length either. For the quantiles each trusted document is scored by a model without its fold
@@ -20,6 +22,9 @@ further columns are kept by the filter; empty input gives no rows.
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Blocks, Scratch
+from .common import Blocks, Scratch, partitions
 from .shingles import buffers
 
 ORDER = 5
@@ -37,7 +42,14 @@ MARGIN = 1.1
 DEVIATIONS = 2
 FOLDS = 8
 WHOLE = -1  # stands in `fold` for the model of all trusted text
-PIECE = 4 << 20
+PIECE = 1 << 20
+SHORT = 2  # n-grams of so many bytes or fewer are known to every shard
+FOLD_AT = 8 * ORDER  # a fold's n-gram is one number, with the fold above the n-gram's bytes
+GRAM = (1 << FOLD_AT) - 1
+MERGE = 4 << 20  # numbers that wait before they are merged
+LISTED = "block long, shard long, n long, m long, grams binary, held binary, lost binary"
+TALLIES = "k long, fold long, gram long, n1 long, n2 long, n3 long, n4 long"
+LOGS = "block long, shard long, n long, m long, held binary, logp binary, unseen binary"
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +71,6 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces_of(table: pa.Table):
     """Slices of a block of at most `PIECE` bytes of text, unless one text is longer."""
-    table = table.combine_chunks()
     size = np.cumsum(pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy())
     start = 0
     while start < table.num_rows:
@@ -70,40 +81,85 @@ def pieces_of(table: pa.Table):
         start = stop
 
 
-def list_grams(docs: pa.Table, trusted: pa.Table) -> pa.Table:
-    """Distinct n-grams of a block and how often each stands in trusted text, in all of it and in each fold that holds it."""
+def pack(values: np.ndarray) -> bytes:
+    """64-bit numbers as compressed bytes: first all lowest bytes, then all second ones and so on, most of which are alike."""
+    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(data: bytes, n: int, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, "zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def summed(keys: Sequence[np.ndarray], counts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sum of their counts."""
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
+
+
+def by_shard(grams: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts sorted n-grams by shard, and the bounds of the shards in it."""
+    pair = grams >> 8 & 0xFFFF
+    shard = (pair * 40503 & 0xFFFF) % shards
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+
+def list_grams(docs: pa.Table, trusted: pa.Table, shards: int) -> pa.Table:
+    """Distinct n-grams of a block, a row for each shard, and how often each stands in the trusted text of each fold that holds it.
+
+    `held` numbers an n-gram of a fold by its place among the row's n-grams, plus the fold times their number.
+    """
     good = set(trusted.column("doc_id").to_pylist())
-    seen: dict[int, list[pd.Series]] = {}
+    none = np.zeros(0, np.int64)
+    need, held, lost = none, [none], [none]
     for part, texts in pieces_of(docs):
         packed, bounds = grams(texts)
-        of = np.array([d in good for d in part.column("doc_id").to_pylist()], bool)
-        fold = np.repeat(np.where(of, part.column("fold").to_numpy(), WHOLE), np.diff(bounds))
+        need = np.union1d(need, pd.unique(packed))
+        own = np.array([d in good for d in part.column("doc_id").to_pylist()], bool)
+        sizes = np.diff(bounds)
+        packed = packed[np.repeat(own, sizes)] | np.repeat(part.column("fold").to_numpy()[own], sizes[own]) << FOLD_AT
         codes, values = pd.factorize(packed)
-        seen.setdefault(WHOLE, []).append(pd.Series(np.bincount(codes, fold != WHOLE, len(values)), values))
-        for f in np.unique(fold[fold != WHOLE]):
-            counts = np.bincount(codes[fold == f], minlength=len(values))
-            seen.setdefault(int(f), []).append(pd.Series(counts[counts > 0], values[counts > 0]))
+        held.append(values)
+        lost.append(np.bincount(codes, minlength=len(values)))
+    held, lost = summed(held, lost)
+    order, bounds = by_shard(need, shards)
+    rank = np.empty(len(need), np.int64)
+    rank[order] = np.arange(len(need))
+    rank = rank[np.searchsorted(need, held & GRAM)]
+    shard = np.searchsorted(bounds, rank, "right") - 1
+    turn = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[turn], np.arange(shards + 1))
     block = docs.column("block")[0].as_py() if docs.num_rows else 0
     out = []
-    for f, parts in seen.items():
-        total = pd.concat(parts).groupby(level=0).sum()
-        out.append(pa.table({
-            "block": pa.array(np.full(len(total), block, np.int64)), "gram": pa.array(total.index.to_numpy(np.int64)),
-            "fold": pa.array(np.full(len(total), f, np.int64)), "n": pa.array(total.to_numpy().astype(np.int64))}))
-    return pa.concat_tables(out) if out else pa.table({c: pa.array([], pa.int64()) for c in ("block", "gram", "fold", "n")})
+    for s in np.flatnonzero(np.diff(bounds)):
+        own, mine = order[bounds[s]:bounds[s + 1]], turn[ends[s]:ends[s + 1]]
+        at = rank[mine] - bounds[s] + (held[mine] >> FOLD_AT) * len(own)
+        out.append((block, s, len(own), len(at), pack(np.diff(need[own], prepend=0)), pack(np.diff(at, prepend=0)), pack(lost[mine])))
+    names = [x.split()[0] for x in LISTED.split(", ")]
+    return pa.table({c: pa.array([r[i] for r in out], pa.binary() if i > 3 else pa.int64()) for i, c in enumerate(names)})
 
 
-def score(docs: pa.Table, logs: pa.Table) -> pa.Table:
+def score(docs: pa.Table, logs: pa.Table, shards: int) -> pa.Table:
     """Sum of log probabilities of each document of a block, and of each trusted one under the model without its fold."""
-    key = lambda gram, fold: gram | (fold + 1) << (8 * ORDER)
-    known = pd.Index(key(logs.column("gram").to_numpy(), logs.column("fold").to_numpy()))
-    value = np.append(logs.column("logp").to_numpy(), np.nan)
-    out = []
+    need, pieces = np.zeros(0, np.int64), []
     for part, texts in pieces_of(docs):
         packed, bounds = grams(texts)
+        codes, values = pd.factorize(packed)
+        need = np.union1d(need, values)
+        pieces.append((part, bounds, codes.astype(np.int32), values))
+    order, starts = by_shard(need, shards)
+    whole, without = np.full(len(need), np.nan), np.full((FOLDS, len(need)), np.nan)
+    for row in logs.select(["shard", "n", "m", "held", "logp", "unseen"]).to_pylist():
+        own = order[starts[row["shard"]]:starts[row["shard"] + 1]]
+        whole[own] = unpack(row["logp"], row["n"], np.float64)
+        fold, at = np.divmod(np.cumsum(unpack(row["held"], row["m"])), row["n"])
+        without[fold, own[at]] = unpack(row["unseen"], row["m"], np.float64)
+    out = []
+    for part, bounds, codes, values in pieces:
+        at = np.searchsorted(need, values)[codes]
         sums = []
-        for fold in (np.full(len(packed), WHOLE), np.repeat(part.column("fold").to_numpy(), np.diff(bounds))):
-            each = value[known.get_indexer(key(packed, fold))]
+        for each in (whole[at], without[np.repeat(part.column("fold").to_numpy(), np.diff(bounds)), at]):
             lacks = np.concatenate([[0], np.cumsum(np.isnan(each))])[bounds]
             total = np.concatenate([[0.0], np.cumsum(np.nan_to_num(each))])[bounds]
             sums.append(pa.array(total[1:] - total[:-1], mask=lacks[1:] > lacks[:-1]))
@@ -121,68 +177,161 @@ def discounts(n: list[int]) -> list[float]:
     return [min(i, max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
 
 
-def probabilities(scratch: Scratch, listed: DataFrame) -> DataFrame:
-    """(gram, fold, logp) of every n-gram in `listed` (gram, fold, n), by joins on n-gram, context and shorter n-gram.
-
-    `WHOLE` rows get the model of all trusted text. Rows of a fold hold every n-gram of the fold's text, so they are all n-grams
-    whose counts change when the fold is left out: `held` has their counts with the fold (c) and without it (r).
+class Order(NamedTuple):
+    """Sorted n-grams of one length: all that are scored, those of trusted text with their counts, and those of each fold's
+    trusted text with their counts with the fold (hc) and without it (hr)."""
+    need: np.ndarray
+    gram: np.ndarray
+    c: np.ndarray
+    held: np.ndarray
+    hc: np.ndarray
+    hr: np.ndarray
+
+
+def ordered(need: np.ndarray, gram: np.ndarray, c: np.ndarray, held: np.ndarray, lost: np.ndarray) -> Order:
+    whole = c[np.searchsorted(gram, held & GRAM)]
+    return Order(need, gram, c, held, whole, whole - lost)
+
+
+def suffixes(keys: np.ndarray, k: int) -> np.ndarray:
+    """The last k bytes of n-grams, with their folds."""
+    return keys & ~(GRAM ^ ((1 << 8 * k) - 1))
+
+
+def shorter(o: Order, k: int) -> Order:
+    """The n-grams of k bytes from those of k + 1, counted by how many different bytes stand before them."""
+    gram, c = np.unique(suffixes(o.gram, k), return_counts=True)
+    return ordered(np.unique(suffixes(o.need, k)), gram, c, *summed([suffixes(o.held, k)], [o.hr == 0]))
+
+
+def gather(rows: list[dict]) -> Order:
+    """The longest n-grams of a shard over all blocks."""
+    none = np.zeros(0, np.int64)
+    need, held, lost, waiting = [none], [none], [none], 0
+    for r in rows:
+        listed = np.cumsum(unpack(r["grams"], r["n"]))
+        fold, at = np.divmod(np.cumsum(unpack(r["held"], r["m"])), r["n"])
+        need.append(listed)
+        held.append(listed[at] | fold << FOLD_AT)
+        lost.append(unpack(r["lost"], r["m"]))
+        waiting += r["n"] + r["m"]
+        if waiting > MERGE:
+            need, (x, y), waiting = [np.unique(np.concatenate(need))], summed(held, lost), 0
+            held, lost = [x], [y]
+    held, lost = summed(held, lost)
+    return ordered(np.unique(np.concatenate(need)), *summed([held & GRAM], [lost]), held, lost)
+
+
+def sizes(c: np.ndarray) -> list[np.ndarray]:
+    return [c == 1, c == 2, c >= 3]
+
+
+def tally(o: Order) -> dict[int, list[int]]:
+    """How many n-grams have counts of one to four, and by how much that changes without each fold."""
+    fold = o.held >> FOLD_AT
+    many = lambda c: np.array([np.count_nonzero(c == i) for i in range(1, 5)])
+    return {WHOLE: many(o.c).tolist()} | {f: (many(o.hr[fold == f]) - many(o.hc[fold == f])).tolist() for f in range(FOLDS)}
+
+
+def cuts_of(tallies: dict[int, list[int]]) -> np.ndarray:
+    """Discounts of all trusted text, then of that without each fold."""
+    whole = tallies[WHOLE]
+    return np.array([discounts(whole)] + [discounts([a + b for a, b in zip(whole, tallies[f])]) for f in range(FOLDS)])
+
+
+def tally_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tallies of a shard's n-grams, and what it adds to the counts of the n-grams of `SHORT` bytes."""
+    o, out = gather([r for b in batches for r in b.to_pylist()]), []
+    for k in range(ORDER, SHORT, -1):
+        out += [(k, fold, 0, *n) for fold, n in tally(o).items()]
+        o = shorter(o, k - 1)
+    n = np.zeros(len(o.need), np.int64)
+    n[np.searchsorted(o.need, o.gram)] = o.c
+    out += [(SHORT, WHOLE, g, x, 0, 0, 0) for g, x in zip(o.need.tolist(), n.tolist())]
+    out += [(SHORT, h >> FOLD_AT, h & GRAM, x, 0, 0, 0) for h, x in zip(o.held.tolist(), (o.hc - o.hr).tolist())]
+    names = [x.split()[0] for x in TALLIES.split(", ")]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(len(names))], names)
+
+
+def read_tallies(stats: DataFrame) -> tuple[dict[int, np.ndarray], Order]:
+    """Discounts by length, and the n-grams of `SHORT` bytes of all shards: 65,536 at most, and as many for each fold."""
+    n = [f"n{i}" for i in range(1, 5)]
+    rows = stats.groupBy("k", "fold", "gram").agg(*[F.sum(x).alias(x) for x in n]).toPandas().sort_values(["k", "fold", "gram"])
+    tallies: dict[int, dict[int, list[int]]] = {k: dict.fromkeys([WHOLE, *range(FOLDS)], [0] * 4) for k in range(SHORT + 1, ORDER + 1)}
+    for r in rows[rows.k > SHORT].itertuples():
+        tallies[r.k][r.fold] = [getattr(r, x) for x in n]
+    short = rows[rows.k == SHORT]
+    need, seen = short[short.fold == WHOLE], short[(short.fold == WHOLE) & (short.n1 > 0)]
+    held = short[short.fold != WHOLE]
+    column = lambda x: x.to_numpy(np.int64)
+    base = o = ordered(column(need.gram), column(seen.gram), column(seen.n1), column(held.fold) << FOLD_AT | column(held.gram), column(held.n1))
+    cuts = {k: cuts_of(x) for k, x in tallies.items()}
+    for k in range(SHORT, 0, -1):
+        o = o if k == SHORT else shorter(o, k)
+        cuts[k] = cuts_of(tally(o))
+    return cuts, base
+
+
+def probabilities(k: int, o: Order, cuts: np.ndarray, below: Order | None, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every n-gram of k bytes in `o.need` under all trusted text, and in `o.held` without its fold; p and u are those of `below`, one byte less.
+
+    Rows of a fold hold every n-gram of the fold's text, so they are all n-grams whose counts change when the fold is left out.
     """
-    mask = lambda c, k: F.col(c).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-    everywhere, of_folds = listed.where(F.col("fold") == WHOLE), listed.where(F.col("fold") != WHOLE)
-    counts = {ORDER: scratch.write(everywhere.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")))}
-    for k in range(ORDER - 1, 0, -1):
-        counts[k] = scratch.write(counts[k + 1].select(mask("gram", k).alias("gram")).groupBy("gram").agg(F.count("*").alias("c")))
-    held = {ORDER: scratch.write(of_folds.groupBy("gram", "fold").agg(F.sum("n").alias("lost")).join(counts[ORDER], "gram")
-                                 .select("gram", "fold", "c", (F.col("c") - F.col("lost")).alias("r")))}
-    for k in range(ORDER - 1, 0, -1):
-        held[k] = scratch.write(held[k + 1].groupBy(mask("gram", k).alias("gram"), "fold").agg(F.count_if(F.expr("r = 0")).alias("lost"))
-                                .join(counts[k], "gram").select("gram", "fold", "c", (F.col("c") - F.col("lost")).alias("r")))
-    need = {ORDER: scratch.write(everywhere.select("gram").distinct())}
-    for k in range(ORDER - 1, 0, -1):
-        need[k] = need[k + 1].select(mask("gram", k).alias("gram")).distinct()
-    lower = less = None
+    context, at = np.unique(o.gram >> 8, return_inverse=True)
+    total, parts = np.bincount(at, o.c, len(context)), [np.bincount(at, x, len(context)) for x in sizes(o.c)]
+    left = sum(x * cut for x, cut in zip(parts, cuts[0]))
+    taken = lambda c, cut: np.where(c == 0, 0.0, cut[..., 0] * (c == 1) + cut[..., 1] * (c == 2) + cut[..., 2] * (c >= 3))
+    kept = np.zeros(len(o.need))
+    kept[np.searchsorted(o.need, o.gram)] = o.c - taken(o.c, cuts[0])
+    q = 1 / 256 if below is None else p[np.searchsorted(below.need, suffixes(o.need, k - 1))]
+    if len(context):
+        place = np.minimum(np.searchsorted(context, o.need >> 8), len(context) - 1)
+        p = np.where(context[place] == o.need >> 8, (kept + left[place] * q) / total[place], q)
+    else:
+        p = np.full(len(o.need), q)
+    # the same without a fold
+    fold = o.held >> FOLD_AT
+    changed, at = np.unique(fold << FOLD_AT | (o.held & GRAM) >> 8, return_inverse=True)
+    place, own = np.searchsorted(context, changed & GRAM), cuts[(changed >> FOLD_AT) + 1]
+    rest = total[place] - np.bincount(at, o.hc - o.hr, len(changed))
+    left = sum((x[place] - np.bincount(at, a, len(changed)) + np.bincount(at, b, len(changed))) * own[:, i]
+               for i, (x, a, b) in enumerate(zip(parts, sizes(o.hc), sizes(o.hr))))
+    q = np.full(len(o.held), 1 / 256) if below is None else u[np.searchsorted(below.held, suffixes(o.held, k - 1))]
+    kept = o.hr - taken(o.hr, cuts[fold + 1])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return p, np.where(rest[at] == 0, q, (kept + left[at] * q) / rest[at]) if len(o.held) else q
+
+
+def shard_logs(batches: Iterator[pa.RecordBatch], cuts: dict[int, np.ndarray], base: Order) -> Iterator[pa.RecordBatch]:
+    """Log probabilities of a shard's n-grams for each block, in the order in which the block lists them."""
+    rows = [r for b in batches for r in b.to_pylist()]
+    orders = {ORDER: gather(rows), SHORT: base}
+    for k in range(ORDER - 1, SHORT, -1):
+        orders[k] = shorter(orders[k + 1], k)
+    for k in range(SHORT - 1, 0, -1):
+        orders[k] = shorter(orders[k + 1], k)
+    p = u = np.zeros(0)
     for k in range(1, ORDER + 1):
-        n = list(counts[k].agg(*[F.count_if(F.col("c") == i) for i in range(1, 5)]).first())
-        change = {r[0]: r[1:] for r in held[k].groupBy("fold").agg(
-            *[F.count_if(F.col("r") == i) - F.count_if(F.col("c") == i) for i in range(1, 5)]).collect()}
-        cut = discounts(n)
-        cuts = [discounts([a + b for a, b in zip(n, change.get(f, (0,) * 4))]) for f in range(FOLDS)]
-        by_fold = [F.element_at(F.array(*[F.lit(float(x[i])) for x in cuts]), (F.col("fold") + 1).cast("int")) for i in range(3)]
-        discount = F.when(F.col("c") == 1, cut[0]).when(F.col("c") == 2, cut[1]).otherwise(cut[2])
-        sizes = lambda c: [F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2), F.count_if(F.col(c) >= 3)]
-        contexts = counts[k].groupBy(F.shiftright("gram", 8).alias("context")).agg(
-            F.sum("c").alias("total"), *[x.alias(f"n{i}") for i, x in enumerate(sizes("c"))])
-        contexts = scratch.write(contexts)
-        left = sum((F.col(f"n{i}") * F.lit(float(cut[i])) for i in range(3)), F.lit(0.0))
-        rows = (need[k].join(counts[k].withColumn("kept", F.col("c") - discount).select("gram", "kept"), "gram", "left")
-                .withColumn("context", F.shiftright("gram", 8)))
-        # the same without a fold
-        changed = held[k].groupBy(F.shiftright("gram", 8).alias("context"), "fold").agg(
-            F.sum(F.col("c") - F.col("r")).alias("dt"), *[(x - y).alias(f"d{i}") for i, (x, y) in enumerate(zip(sizes("c"), sizes("r")))])
-        without = changed.join(contexts, "context").select(
-            "context", "fold", (F.col("total") - F.col("dt")).alias("total"),
-            sum(((F.col(f"n{i}") - F.col(f"d{i}")) * by_fold[i] for i in range(3)), F.lit(0.0)).alias("left"))
-        kept = F.col("r") - F.when(F.col("r") == 0, 0.0).when(F.col("r") == 1, by_fold[0]).when(F.col("r") == 2, by_fold[1]).otherwise(by_fold[2])
-        others = held[k].select("gram", "fold", kept.alias("kept"), F.shiftright("gram", 8).alias("context")).join(without, ["context", "fold"])
-        if k == 1:
-            whole = contexts.select("total", left.alias("left")).first()
-            total, rest = (whole["total"], whole["left"]) if whole else (1, 1.0)
-            p = (F.coalesce("kept", F.lit(0.0)) + F.lit(float(rest) / 256)) / F.lit(float(total))
-            others = others.withColumn("q", F.lit(1 / 256))
-        else:
-            shorter = lower.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
-            rows = (rows.withColumn("suffix", mask("gram", k - 1))
-                    .join(contexts.select("context", "total", left.alias("left")), "context", "left").join(shorter, "suffix"))
-            p = F.when(F.col("total").isNull(), F.col("q")).otherwise(
-                (F.coalesce("kept", F.lit(0.0)) + F.col("left") * F.col("q")) / F.col("total"))
-            others = others.withColumn("suffix", mask("gram", k - 1)).join(
-                less.select(F.col("gram").alias("suffix"), "fold", F.col("p").alias("q")), ["suffix", "fold"])
-        done = [contexts, counts[k], held[k]] + [x for x in (lower, less) if x is not None]
-        lower = scratch.write(rows.select("gram", p.alias("p")))
-        less = scratch.write(others.select("gram", "fold", F.when(F.col("total") == 0, F.col("q")).otherwise(
-            (F.col("kept") + F.col("left") * F.col("q")) / F.col("total")).alias("p")))
-        scratch.drop(*done)
-    return lower.withColumn("fold", F.lit(WHOLE).cast("long")).unionByName(less).select("gram", "fold", F.log("p").alias("logp"))
+        p, u = probabilities(k, orders[k], cuts[k], orders.get(k - 1), p, u)
+    p, u = np.log(p), np.log(u)
+    longest, kinds = orders[ORDER], [x.split() for x in LOGS.split(", ")]
+    out, waiting = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary() if kind == "binary" else pa.int64())
+                                           for i, (_, kind) in enumerate(kinds)], [name for name, _ in kinds])
+
+    for r in rows:
+        listed = np.cumsum(unpack(r["grams"], r["n"]))
+        fold, at = np.divmod(np.cumsum(unpack(r["held"], r["m"])), r["n"])
+        logp = pack(p[np.searchsorted(longest.need, listed)])
+        unseen = pack(u[np.searchsorted(longest.held, listed[at] | fold << FOLD_AT)])
+        out.append((r["block"], r["shard"], r["n"], r["m"], r["held"], logp, unseen))
+        waiting += len(r["held"]) + len(logp) + len(unseen)
+        if waiting > MERGE:
+            yield batch()
+            out, waiting = [], 0
+    yield batch()
 
 
 def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -197,11 +346,25 @@ def perplexities(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> Da
                     hashed.alias("text_hash"))
     parts = blocks.read().groupBy("block")
     mine = trusted.select(blocks.of("doc_id"), "doc_id").groupBy("block")
-    listed = scratch.write(parts.cogroup(mine).applyInArrow(list_grams, "block long, gram long, fold long, n long"))
-    logs = listed.select("block", "gram", "fold").join(probabilities(scratch, listed), ["gram", "fold"]).select(
-        "block", "gram", "fold", "logp")
-    scores = scratch.write(parts.cogroup(logs.groupBy("block")).applyInArrow(
-        score, "doc_id long, text_hash long, lang string, n_bytes long, logp double, unseen double"))
+    shards, name = partitions(spark), f"grams_{uuid.uuid4().hex}"
+
+    def listing(docs: pa.Table, trusted: pa.Table) -> pa.Table:
+        return list_grams(docs, trusted, shards)
+
+    (parts.cogroup(mine).applyInArrow(listing, LISTED).repartition(shards, "shard")
+     .write.option("compression", "none").bucketBy(shards, "shard").saveAsTable(name))
+    listed = spark.table(name).groupBy("shard")
+    cuts, base = read_tallies(scratch.write(listed.applyInArrow(tally_shard, TALLIES)))
+
+    def logs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from shard_logs(batches, cuts, base)
+
+    def scoring(docs: pa.Table, logs: pa.Table) -> pa.Table:
+        return score(docs, logs, shards)
+
+    scores = scratch.write(parts.cogroup(listed.applyInArrow(logs_of, LOGS).groupBy("block")).applyInArrow(
+        scoring, "doc_id long, text_hash long, lang string, n_bytes long, logp double, unseen double"))
+    spark.sql(f"DROP TABLE {name}")
     blocks.close()
     perplexity = lambda c: F.when(F.col("n_bytes") > 0, F.exp(-F.col(c) / F.col("n_bytes")))
     return (scores.join(trusted.select("doc_id", F.lit(True).alias("known")), "doc_id", "left")

@@ -4,9 +4,12 @@ import base64
 import collections
 import hashlib
 import json
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -470,6 +473,47 @@ def test_clean_documents_kept_out_of_training_stay(spark):
     assert rejected < 0.08 and bad > 0.7
 
 
+def test_listed_ngrams_are_packed(real):
+    """A listed n-gram takes a few bytes on disk, not a row, and a block is scored without temporary arrays of several times its size."""
+    rows = [(r.doc_id, r.text or "") for r in real.collect()]
+    while sum(len(t.encode()) for _, t in rows) < 6 << 20:
+        rows += [(i + 10**6, t[::-1]) for i, t in rows]
+    docs = pa.table({"block": [3] * len(rows), "doc_id": [i for i, _ in rows], "text": [t for _, t in rows], "lang": ["en"] * len(rows),
+                     "fold": [i % quality.FOLDS for i in range(len(rows))], "text_hash": [0] * len(rows)})
+    trusted = pa.table({"doc_id": [i for i, _ in rows[::2]]})
+    listed = quality.list_grams(docs, trusted, 5)
+    assert sorted(listed.column("shard").to_pylist()) == list(range(5))
+    want, lost = set(), collections.Counter()
+    for n, (_, t) in enumerate(rows[:40]):
+        data = b"\0" * 4 + t.encode()
+        for i in range(len(data) - 4):
+            want.add(int.from_bytes(data[i:i + 5], "big"))
+            if n % 2 == 0:
+                lost[n % quality.FOLDS, int.from_bytes(data[i:i + 5], "big")] += 1
+    few = quality.gather(quality.list_grams(docs.slice(0, 40), trusted, 5).to_pylist())
+    assert few.need.tolist() == sorted(want)
+    got = dict(zip(zip((few.held >> 40).tolist(), (few.held & quality.GRAM).tolist()), (few.hc - few.hr).tolist()))
+    assert got == lost
+    entries = sum(listed.column("n").to_pylist()) + sum(listed.column("m").to_pylist())
+    assert sum(listed.column(c).nbytes for c in ("grams", "held", "lost")) < 5 * entries
+    logs = pa.Table.from_batches(quality.shard_logs(iter(listed.to_batches()), *_flat(quality.gather(listed.to_pylist()))))
+    tracemalloc.start()
+    scored = quality.score(docs, logs, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert scored.num_rows == len(rows) and scored.column("logp").null_count == 0
+    assert scored.filter(pc.is_in(scored["doc_id"], trusted["doc_id"].combine_chunks())).column("unseen").null_count == 0
+    assert peak < 256 << 20
+
+
+def _flat(longest):
+    """Discounts by length and the short n-grams, as if all shards were one."""
+    orders = {quality.ORDER: longest}
+    for k in range(quality.ORDER - 1, 0, -1):
+        orders[k] = quality.shorter(orders[k + 1], k)
+    return {k: quality.cuts_of(quality.tally(o)) for k, o in orders.items()}, orders[quality.SHORT]
+
+
 # top k
 
 def test_top_k(spark):
