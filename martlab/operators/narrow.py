@@ -1,7 +1,7 @@
 """Comparison of two large tables by digests: only rows of key ranges that differ are sorted or joined.
 
-Keys are hashed into buckets. Each side is reduced to one order-free digest for each bucket, summed per task, and the two short
-lists are compared. Rows of differing buckets alone are digested again by finer buckets, and so on; what is left goes to
+Keys are hashed into buckets. Both sides are reduced to one order-free digest for each bucket, summed per task, in which
+equal rows cancel out. Rows of differing buckets alone are digested again by finer buckets, and so on; what is left goes to
 the exact comparison. Equal tables end after the first digests.
 """
 
@@ -23,18 +23,17 @@ def _bucket(keys: Sequence[str], level: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys), 64 - BITS * level)
 
 
-def bucket_digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], level: int) -> DataFrame:
-    """(bucket, rows, mixed, added): order-free digests; `added` tells repeats apart that cancel out in `mixed`."""
+def bucket_digests(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], level: int) -> DataFrame:
+    """(bucket, rows, mixed, added): order-free digests of `a` less those of `b`; `added` tells repeats apart that cancel out in `mixed`."""
     row = F.xxhash64(*keys, *columns, *[F.col(c).isNull() for c in [*keys, *columns]])
-    return df.groupBy(_bucket(keys, level).alias("bucket")).agg(
-        F.count("*").alias("rows"), F.bit_xor(row).alias("mixed"), F.sum(F.shiftrightunsigned(row, 32)).alias("added"))
+    sides = [df.select(_bucket(keys, level).alias("bucket"), F.lit(sign).cast("long").alias("side"), row.alias("row")) for df, sign in ((a, 1), (b, -1))]
+    return sides[0].unionByName(sides[1]).groupBy("bucket").agg(
+        F.sum("side").alias("rows"), F.bit_xor("row").alias("mixed"), F.sum(F.col("side") * F.shiftrightunsigned("row", 32)).alias("added"))
 
 
 def differing_buckets(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], level: int) -> DataFrame:
-    """Buckets whose digests are not the same on both sides. A row of digests that stands alone has no twin."""
-    both = bucket_digests(a, keys, columns, level).unionByName(bucket_digests(b, keys, columns, level))
-    alike = both.groupBy("bucket", "rows", "mixed", "added").agg(F.count("*").alias("sides")).where("sides < 2")
-    return alike.select("bucket").distinct()
+    """Buckets whose digests are not the same on both sides: one table of sums a task, not one for each side and one for both."""
+    return bucket_digests(a, b, keys, columns, level).where("rows <> 0 OR mixed <> 0 OR added <> 0").select("bucket")
 
 
 def narrowed(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
@@ -42,6 +41,8 @@ def narrowed(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[
     keys, columns = list(keys), list(columns)
     for level in range(1, levels + 1):
         wanted = differing_buckets(a, b, keys, columns, level)
+        # the first buckets are few enough for every task; of finer ones a task hashes its own, so that no row is sorted
+        wanted = F.broadcast(wanted) if level == 1 else wanted.hint("shuffle_hash")
         a, b = (df.withColumn("bucket", _bucket(keys, level)).join(wanted, "bucket", "left_semi").drop("bucket") for df in (a, b))
     return a, b
 

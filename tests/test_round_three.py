@@ -66,6 +66,23 @@ def test_equal_tables_are_not_joined(spark, tmp_path):
     assert parity.collect() == []
 
 
+def test_narrowing_sorts_no_rows(spark):
+    """A task holds one table of digests for both sides and the buckets wanted of it, no sorted rows, however little may be broadcast."""
+    a = spark.range(3000).select("id", (F.col("id") % 7).alias("v"), F.lit(None).cast("string").alias("t"))
+    b = spark.createDataFrame([(i, i % 7 + (i == 5), "x" if i == 9 else None) for i in range(3000) if i != 40] + [(8, 1, None)], "id long, v long, t string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = narrow.narrowed(a, b, ["id"], ["v", "t"])
+        plans = [plan_of(x) for x in few]
+        assert all("Sort" not in p and "ShuffledHashJoin" in p for p in plans)
+        digests = plan_of(narrow.differing_buckets(a, b, ["id"], ["v", "t"], 1))
+        assert digests.count("HashAggregate") == 2 and digests.count("Exchange") == 1  # per task and over tasks
+        assert [{r.id for r in x.collect()} for x in few] == [{5, 8, 9, 40}, {5, 8, 9}]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_narrowed_rows_equal_whole_comparison(spark):
     rng = random.Random(2)
     a = [(i, rng.randrange(3), None) for i in range(3000)] + [(None, 1, "n")]
