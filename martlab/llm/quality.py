@@ -159,10 +159,12 @@ def score(docs: pa.Table, logs: pa.Table, shards: int) -> pa.Table:
     for part, bounds, codes, values in pieces:
         at = np.searchsorted(need, values)[codes]
         sums = []
+        full = np.diff(bounds) > 0
         for each in (whole[at], without[np.repeat(part.column("fold").to_numpy(), np.diff(bounds)), at]):
-            lacks = np.concatenate([[0], np.cumsum(np.isnan(each))])[bounds]
-            total = np.concatenate([[0.0], np.cumsum(np.nan_to_num(each))])[bounds]
-            sums.append(pa.array(total[1:] - total[:-1], mask=lacks[1:] > lacks[:-1]))
+            # each document's own sum; differences of running sums would carry what is not finite into the next documents
+            total = np.zeros(len(full))
+            total[full] = np.add.reduceat(each, bounds[:-1][full]) if full.any() else []
+            sums.append(pa.array(total, mask=np.isnan(total)))
         out.append(pa.table({
             "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "lang": part.column("lang"),
             "n_bytes": pa.array(np.diff(bounds)), "logp": sums[0], "unseen": sums[1]}))
@@ -177,6 +179,16 @@ def discounts(n: list[int]) -> list[float]:
     return [min(i, max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
 
 
+def shared(kept: np.ndarray, left: np.ndarray, q: np.ndarray | float, total: np.ndarray, one: np.ndarray | float) -> np.ndarray:
+    """Probability from the count kept and a shorter n-gram's share of what its context's discounts left over.
+
+    The discount of counts of two or more may be zero. Where so nothing is left over, an unseen byte gets what one discount of counts of one, which
+    is above zero, would have left it: no byte may be impossible.
+    """
+    p = kept + left * q
+    return np.where(p > 0, p, one * q) / total
+
+
 class Order(NamedTuple):
     """Sorted n-grams of one length: all that are scored, those of trusted text with their counts, and those of each fold's
     trusted text with their counts with the fold (hc) and without it (hr)."""
@@ -286,7 +298,7 @@ def probabilities(k: int, o: Order, cuts: np.ndarray, below: Order | None, p: np
     q = 1 / 256 if below is None else p[np.searchsorted(below.need, suffixes(o.need, k - 1))]
     if len(context):
         place = np.minimum(np.searchsorted(context, o.need >> 8), len(context) - 1)
-        p = np.where(context[place] == o.need >> 8, (kept + left[place] * q) / total[place], q)
+        p = np.where(context[place] == o.need >> 8, shared(kept, left[place], q, total[place], cuts[0, 0]), q)
     else:
         p = np.full(len(o.need), q)
     # the same without a fold
@@ -299,7 +311,7 @@ def probabilities(k: int, o: Order, cuts: np.ndarray, below: Order | None, p: np
     q = np.full(len(o.held), 1 / 256) if below is None else u[np.searchsorted(below.held, suffixes(o.held, k - 1))]
     kept = o.hr - taken(o.hr, cuts[fold + 1])
     with np.errstate(divide="ignore", invalid="ignore"):
-        return p, np.where(rest[at] == 0, q, (kept + left[at] * q) / rest[at]) if len(o.held) else q
+        return p, np.where(rest[at] == 0, q, shared(kept, left[at], q, rest[at], own[at, 0])) if len(o.held) else q
 
 
 def shard_logs(batches: Iterator[pa.RecordBatch], cuts: dict[int, np.ndarray], base: Order) -> Iterator[pa.RecordBatch]:

@@ -473,6 +473,34 @@ def test_clean_documents_kept_out_of_training_stay(spark):
     assert rejected < 0.08 and bad > 0.7
 
 
+def test_every_byte_has_a_probability(spark):
+    """Where counts of two are rarer than counts of three nothing is taken off them; a byte never seen after a context of counts of two still has a chance."""
+    assert quality.discounts([625, 55, 149, 85])[1] == 0
+    rng = np.random.default_rng(6)
+    text = lambda n, letters: "".join(rng.choice(list(letters), n))
+    thrice, twice = text(400, "abcd"), text(12, "wxyz")
+    good = [thrice] * 3 + [twice] * 2 + [text(50, "abcdefgh") for _ in range(20)]
+    rows = list(enumerate(good)) + [(100 + i, twice[:6 + i % 3] + "#" + text(30, "#%&")) for i in range(20)] + [(200 + i, text(60, "abcd")) for i in range(60)]
+    trusted = spark.createDataFrame([(i,) for i in range(len(good))], "doc_id long")
+    together = {r.doc_id: (r.perplexity, r.unseen) for r in quality.perplexities(spark, frame(spark, rows).coalesce(1), trusted).collect()}
+    assert all(np.isfinite(x) and x > 1 for pair in together.values() for x in pair if x is not None)
+    assert len([u for _, u in together.values() if u is not None]) == len(good)
+
+
+def test_sums_stay_with_their_document():
+    """A document without a probability takes nothing from the documents scored after it."""
+    texts = ["abab", "", "zz", "ab", "zz", "abab", None]
+    docs = pa.table({"block": [0] * 7, "doc_id": list(range(7)), "text": texts, "lang": ["en"] * 7, "fold": [0] * 7, "text_hash": [0] * 7})
+    listed = quality.list_grams(docs, pa.table({"doc_id": [0]}), 1).to_pylist()[0]
+    grams = np.cumsum(quality.unpack(listed["grams"], listed["n"]))
+    logs = np.where(grams & 255 == ord("z"), -np.inf, -1.0)
+    held = np.cumsum(quality.unpack(listed["held"], listed["m"]))
+    row = {"block": 0, "shard": 0, "n": listed["n"], "m": listed["m"], "held": listed["held"], "logp": quality.pack(logs), "unseen": quality.pack(logs[held % listed["n"]])}
+    scored = quality.score(docs, pa.Table.from_pylist([row]), 1)
+    assert scored.column("logp").to_pylist() == [-4, 0, -np.inf, -2, -np.inf, -4, 0]
+    assert scored.column("unseen").to_pylist()[0] == -4
+
+
 def test_listed_ngrams_are_packed(real):
     """A listed n-gram takes a few bytes on disk, not a row, and a block is scored without temporary arrays of several times its size."""
     rows = [(r.doc_id, r.text or "") for r in real.collect()]
