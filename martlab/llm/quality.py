@@ -43,6 +43,7 @@ DEVIATIONS = 2
 FOLDS = 8
 WHOLE = -1  # stands in `fold` for the model of all trusted text
 PIECE = 1 << 20
+SCORED = 1 << 18  # bytes of text scored at once
 SHORT = 2  # n-grams of so many bytes or fewer are known to every shard
 FOLD_AT = 8 * ORDER  # a fold's n-gram is one number, with the fold above the n-gram's bytes
 GRAM = (1 << FOLD_AT) - 1
@@ -69,13 +70,13 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return packed[own], bounds
 
 
-def pieces_of(table: pa.Table):
-    """Slices of a block of at most `PIECE` bytes of text, unless one text is longer."""
+def pieces_of(table: pa.Table, limit: int = PIECE):
+    """Slices of a block of at most `limit` bytes of text, unless one text is longer."""
     size = np.cumsum(pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy())
     start = 0
     while start < table.num_rows:
         base = size[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(size, base + PIECE, "right")))
+        stop = max(start + 1, int(np.searchsorted(size, base + limit, "right")))
         part = table.slice(start, stop - start)
         yield part, part.column("text").combine_chunks()
         start = stop
@@ -142,25 +143,32 @@ def list_grams(docs: pa.Table, trusted: pa.Table, shards: int) -> pa.Table:
 
 def score(docs: pa.Table, logs: pa.Table, shards: int) -> pa.Table:
     """Sum of log probabilities of each document of a block, and of each trusted one under the model without its fold."""
-    need, pieces = np.zeros(0, np.int64), []
-    for part, texts in pieces_of(docs):
-        packed, bounds = grams(texts)
-        codes, values = pd.factorize(packed)
-        need = np.union1d(need, values)
-        pieces.append((part, bounds, codes.astype(np.int32), values))
+    need, waiting = [np.zeros(0, np.int64)], 0
+    for _, texts in pieces_of(docs, SCORED):
+        need.append(pd.unique(grams(texts)[0]))
+        waiting += len(need[-1])
+        if waiting > MERGE >> 2:
+            need, waiting = [np.unique(np.concatenate(need))], 0
+    need = np.unique(np.concatenate(need))
     order, starts = by_shard(need, shards)
-    whole, without = np.full(len(need), np.nan), np.full((FOLDS, len(need)), np.nan)
+    # the fold's values in a row, found by place: few n-grams stand in the trusted text of a fold
+    whole, place, values, known = np.full(len(need), np.nan), np.zeros((FOLDS, len(need)), np.int32), [np.full(1, np.nan)], 1
     for row in logs.select(["shard", "n", "m", "held", "logp", "unseen"]).to_pylist():
         own = order[starts[row["shard"]]:starts[row["shard"] + 1]]
         whole[own] = unpack(row["logp"], row["n"], np.float64)
         fold, at = np.divmod(np.cumsum(unpack(row["held"], row["m"])), row["n"])
-        without[fold, own[at]] = unpack(row["unseen"], row["m"], np.float64)
-    out = []
-    for part, bounds, codes, values in pieces:
-        at = np.searchsorted(need, values)[codes]
+        place[fold, own[at]] = np.arange(known, known + row["m"])
+        values.append(unpack(row["unseen"], row["m"], np.float64))
+        known += row["m"]
+    without, out = np.concatenate(values), []
+    # a piece's n-grams are found again, as those of all pieces take several times the text
+    for part, texts in pieces_of(docs, SCORED):
+        packed, bounds = grams(texts)
+        codes, distinct = pd.factorize(packed)
+        at = np.searchsorted(need, distinct)[codes]
         sums = []
         full = np.diff(bounds) > 0
-        for each in (whole[at], without[np.repeat(part.column("fold").to_numpy(), np.diff(bounds)), at]):
+        for each in (whole[at], without[place[np.repeat(part.column("fold").to_numpy(), np.diff(bounds)), at]]):
             # each document's own sum; differences of running sums would carry what is not finite into the next documents
             total = np.zeros(len(full))
             total[full] = np.add.reduceat(each, bounds[:-1][full]) if full.any() else []

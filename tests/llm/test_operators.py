@@ -534,6 +534,24 @@ def test_listed_ngrams_are_packed(real):
     assert peak < 256 << 20
 
 
+def test_scoring_a_block_takes_little_memory():
+    """Scoring holds less than three times the text of a block; numbers for each byte of a block alone would take four times."""
+    rng = np.random.default_rng(9)
+    heap = words(10, 3000)
+    texts = [" ".join(rng.choice(heap, 400)) for _ in range(6000)]
+    docs = pa.table({"block": [0] * 6000, "doc_id": list(range(6000)), "text": texts, "lang": ["en"] * 6000, "fold": [i % 8 for i in range(6000)], "text_hash": [0] * 6000})
+    listed = quality.list_grams(docs, pa.table({"doc_id": [0, 1, 2]}), 3).to_pylist()
+    logs = pa.Table.from_pylist([{**{k: r[k] for k in ("block", "shard", "n", "m", "held")}, "logp": quality.pack(np.full(r["n"], -1.0)),
+                                  "unseen": quality.pack(np.full(r["m"], -2.0))} for r in listed])
+    tracemalloc.start()
+    scored = quality.score(docs, logs, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = np.array([len(t) for t in texts])
+    assert scored.column("logp").to_pylist() == (-size).tolist() and scored.column("unseen").to_pylist()[:3] == (-2 * size[:3]).tolist()
+    assert scored.column("unseen").null_count == 5997 and peak < 3 * size.sum()
+
+
 def _flat(longest):
     """Discounts by length and the short n-grams, as if all shards were one."""
     orders = {quality.ORDER: longest}
